@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,14 +70,37 @@ def owner_activity(fact: DataFrame) -> DataFrame:
     )
 
 
-def partial_counts(fact: DataFrame) -> dict[str, DataFrame]:
-    """The additive part of every rollup for one batch of fact rows."""
-    return {
-        name: events_per_minute(fact) if name == "minute" else count_by(fact, key)
-        for name, key in ROLLUP_KEYS.items()
-    }
+def partial_counts(fact: DataFrame) -> DataFrame:
+    """The additive part of every rollup for one batch, as one table.
 
-
-def add_up(partials: DataFrame, key: str) -> DataFrame:
-    """Partial counts of any number of batches to totals."""
-    return partials.groupBy(key).agg(F.sum(EVENT_COUNT).alias(EVENT_COUNT))
+    A single job then writes them all, so the rollups of a batch appear together.
+    """
+    minutes = events_per_minute(fact).select(
+        F.lit("minute").alias("rollup"), "minute", F.lit(None).cast("string").alias("key"), EVENT_COUNT
+    )
+    keyed = [
+        count_by(fact, column).select(
+            F.lit(name).alias("rollup"),
+            F.lit(None).cast("timestamp_ntz").alias("minute"),
+            F.col(column).alias("key"),
+            EVENT_COUNT,
+        )
+        for name, column in ROLLUP_KEYS.items()
+        if name != "minute"
+    ]
+    return reduce(DataFrame.unionAll, keyed, minutes)
+
+
+def add_up(partials: DataFrame) -> DataFrame:
+    """Partial counts of any number of batches to one count per key."""
+    return partials.groupBy("rollup", "minute", "key").agg(F.sum(EVENT_COUNT).alias(EVENT_COUNT))
+
+
+def rollup_totals(partials: DataFrame, name: str) -> DataFrame:
+    """One rollup from its partial counts."""
+    stored = "minute" if name == "minute" else "key"
+    return (
+        partials.where(F.col("rollup") == name)
+        .groupBy(F.col(stored).alias(ROLLUP_KEYS[name]))
+        .agg(F.sum(EVENT_COUNT).alias(EVENT_COUNT))
+    )

@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 from eventpulse.operators import canonical, dedup, dims, enrich, metrics, parse, quality, rollups
 from eventpulse.plans import dashboards, fixtures
 from eventpulse.plans.lake import Lake
-from eventpulse.plans.refresh import refresh_rollups
+from eventpulse.plans.refresh import publish_rollups
 from eventpulse.schemas import FACT_COLUMNS
 from eventpulse.session import pin_utc, work_dir
-from eventpulse.sinks.tables import BatchTable
 from eventpulse.sources.landed import explode_responses
 from eventpulse.sources.log import read_log_files
 from eventpulse.sources.scans import scan_range
@@ -123,10 +122,9 @@ def actor_lookup(spark, sf_dir):
 
 
 def rollup_refresh(spark, sf_dir):
-    """K2: all rollups published from one snapshot of a stored fact table, then summed up."""
+    """K2: all rollups published as a version, then read back and summed up."""
     lake = Lake(pin_utc(spark), work_dir(spark, "rollup_refresh"))
-    lake.fact.write(_fact(spark, sf_dir).withColumn("event_date", F.to_date("event_created_at")), 0)
-    refresh_rollups(lake, as_of=AS_OF)
+    publish_rollups(lake, _fact(spark, sf_dir), AS_OF)
     sums = [
         table.read().agg(
             F.lit(name).alias("rollup"),
@@ -139,15 +137,15 @@ def rollup_refresh(spark, sf_dir):
 
 
 def incremental_rollup(spark, sf_dir):
-    """Partial counts of four batches, one of them repeated, compacted midway."""
+    """Partial counts of four batches by time, one of them repeated, compacted midway."""
     facts = _fact(spark, sf_dir)
     lake = Lake(spark, work_dir(spark, "incremental_rollup"))
-    table: BatchTable = lake.partials["repo_activity"]
+    turns = [None, datetime(2024, 1, 8), datetime(2024, 1, 16), datetime(2024, 1, 24), None]
     for batch_id in (0, 1, 2, 2, 3):
-        batch = facts.where(F.col("kafka_offset") % 4 == batch_id)
-        table.write(rollups.partial_counts(batch)["repo_activity"], batch_id)
+        batch = scan_range(facts, turns[batch_id], turns[batch_id + 1])
+        lake.partials.write(rollups.partial_counts(batch), batch_id)
         if batch_id == 2:
-            table.compact()
+            lake.partials.compact()
     return lake.totals("repo_activity")
 
 

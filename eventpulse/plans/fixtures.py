@@ -7,21 +7,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventpulse.schemas import ENVELOPE
 
+# Stated, so that reading a table of many files needs no job to infer it.
+SOURCE = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
 REDELIVERY_OFFSET = 1_000_000
 NOT_NULL_JSON = {"ignoreNullFields": "false"}
 
 
 def source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(SOURCE).parquet(f"{sf_dir}/events.parquet")
 
 
 def source_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a stream; the glob makes a single file acceptable as well."""
-    schema = source(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    return spark.readStream.schema(SOURCE).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def _repo_name(k: Column) -> Column:

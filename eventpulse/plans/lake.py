@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import partial
-
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from eventpulse import schemas
-from eventpulse.operators.rollups import EVENT_COUNT, ROLLUP_KEYS, add_up
+from eventpulse.operators.rollups import add_up, rollup_totals
 from eventpulse.sinks.tables import BatchTable, VersionedTable
 
 ENRICHED = [T.StructField("repo_owner", T.StringType()), T.StructField("repo_short_name", T.StringType())]
@@ -20,6 +18,14 @@ LOOKUPS = {
 }
 
 
+ROLLUPS = {
+    "minute": schemas.MINUTE,
+    "types": schemas.TYPES,
+    "repo_activity": schemas.REPO_ACTIVITY,
+    "actor_activity": schemas.ACTOR_ACTIVITY,
+}
+
+
 def _fields(schema: T.StructType, *extra: T.StructField) -> T.StructType:
     return T.StructType([*schema.fields, *extra])
 
@@ -40,34 +46,20 @@ class Lake:
         )
         self.quarantine = BatchTable(spark, f"{root}/quarantine", schemas.QUARANTINE)
         self.metrics = BatchTable(spark, f"{root}/metrics", schemas.INGEST_METRICS)
-        self.partials = {
-            name: BatchTable(
-                spark,
-                f"{root}/partials/{name}",
-                T.StructType([schemas_by_name[name][key], schemas_by_name[name][EVENT_COUNT]]),
-                merge=partial(add_up, key=key),
-            )
-            for name, key in ROLLUP_KEYS.items()
-        }
+        self.partials = BatchTable(
+            spark, f"{root}/partials", schemas.PARTIALS, partition_by=["rollup"], merge=add_up
+        )
         self.rollups = {
             name: VersionedTable(spark, f"{root}/rollups/{name}", schema)
-            for name, schema in schemas_by_name.items()
+            for name, schema in ROLLUPS.items()
         }
         self.repos = VersionedTable(spark, f"{root}/dims/repos", schemas.REPOS)
         self.actors = VersionedTable(spark, f"{root}/dims/actors", schemas.ACTORS)
 
-    def totals(self, name: str, upto: int | None = None):
+    def totals(self, name: str, upto: int | None = None) -> DataFrame:
         """The incremental form of a rollup, all batches added up."""
-        return add_up(self.partials[name].read(upto), ROLLUP_KEYS[name])
+        return rollup_totals(self.partials.read(upto), name)
 
     def compact(self) -> None:
-        for table in (self.fact, self.quarantine, self.metrics, *self.partials.values()):
+        for table in (self.fact, self.quarantine, self.partials, self.metrics):
             table.compact()
-
-
-schemas_by_name = {
-    "minute": schemas.MINUTE,
-    "types": schemas.TYPES,
-    "repo_activity": schemas.REPO_ACTIVITY,
-    "actor_activity": schemas.ACTOR_ACTIVITY,
-}

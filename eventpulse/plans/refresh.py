@@ -27,14 +27,18 @@ def all_rollups(fact: DataFrame, as_of: datetime) -> dict[str, DataFrame]:
     }
 
 
+def publish_rollups(lake: Lake, fact: DataFrame, as_of: datetime | None = None) -> dict[str, int]:
+    """A new version of every rollup, all with the same stamp."""
+    tables = all_rollups(fact, as_of or run_time(lake.spark))
+    return {name: lake.rollups[name].publish(df) for name, df in tables.items()}
+
+
 def refresh_rollups(lake: Lake, upto: int | None = None, as_of: datetime | None = None) -> dict[str, int]:
-    """Publish a new version of every rollup.
+    """K2 from the stored fact table, up to a batch.
 
     The snapshot is fixed once, so the four tables agree while a stream appends.
     """
-    upto = lake.fact.last_batch() if upto is None else upto
-    tables = all_rollups(lake.fact.read(upto), as_of or run_time(lake.spark))
-    return {name: lake.rollups[name].publish(df) for name, df in tables.items()}
+    return publish_rollups(lake, lake.fact.read(upto), as_of)
 
 
 def refresh_rollups_jdbc(

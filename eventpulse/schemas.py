@@ -74,6 +74,9 @@ TYPES = _struct(("event_type", _S), ("event_count", _L), ("last_updated", _NTZ))
 REPO_ACTIVITY = _struct(("repo_name", _S), ("event_count", _L), ("last_updated", _NTZ))
 ACTOR_ACTIVITY = _struct(("actor_login", _S), ("event_count", _L), ("last_updated", _NTZ))
 
+# Counts of one batch for all rollups; ``minute`` or ``key`` holds the rollup's key.
+PARTIALS = _struct(("rollup", _S), ("minute", _NTZ), ("key", _S), ("event_count", _L))
+
 REPOS = _struct(
     ("repo_id", _L),
     ("repo_name", _S),

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # recording the Python call site of every expression doubles the time to build a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
