@@ -12,10 +12,11 @@ from eventpulse.functions import at_rest, event_date
 from eventpulse.operators.dedup import dedup_batch, drop_seen, prune_to_dates
 from eventpulse.operators.enrich import enrich_repo
 from eventpulse.operators.metrics import observed
-from eventpulse.operators.parse import classify, flatten, project_envelope
+from eventpulse.operators.parse import classify, flatten, good_rows, project_envelope
 from eventpulse.operators.rollups import partial_counts
 from eventpulse.plans.lake import Lake
 from eventpulse.session import pin_utc
+from eventpulse.sinks.jdbc import jdbc_writer
 
 ALL_AVAILABLE = {"availableNow": True}
 
@@ -72,16 +73,37 @@ def _batch_metrics(rows: DataFrame, written: DataFrame) -> DataFrame:
     return counts.withColumn("polls", F.lit(1).cast("bigint"))
 
 
-def start_ingest(
-    log: DataFrame, lake: Lake, checkpoint: str, trigger: dict[str, object] = ALL_AVAILABLE
-) -> StreamingQuery:
-    """``trigger`` holds the arguments of Spark's trigger(), e.g. ``{"processingTime": "1 minute"}``."""
-    pin_utc(log.sparkSession)
+def _start(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger) -> StreamingQuery:
     return (
-        ingest_rows(log)
-        .writeStream.foreachBatch(fact_writer(lake))
+        rows.writeStream.foreachBatch(write)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
+
+
+def start_ingest(
+    log: DataFrame, lake: Lake, checkpoint: str, trigger: dict[str, object] = ALL_AVAILABLE
+) -> StreamingQuery:
+    """``trigger`` holds the arguments of Spark's trigger(), e.g. ``{"processingTime": "1 minute"}``.
+
+    The batch ids of the checkpoint address the lake's tables, so the two belong together.
+    """
+    pin_utc(log.sparkSession)
+    return _start(ingest_rows(log), fact_writer(lake), checkpoint, trigger)
+
+
+def start_jdbc_ingest(
+    log: DataFrame,
+    url: str,
+    table: str,
+    properties: dict[str, str],
+    checkpoint: str,
+    trigger: dict[str, object] = ALL_AVAILABLE,
+    enrich: bool = False,
+) -> StreamingQuery:
+    """Good rows of the log into a database table instead of the lake."""
+    pin_utc(log.sparkSession)
+    rows = good_rows(classify(project_envelope(log)))
+    return _start(enrich_repo(rows) if enrich else rows, jdbc_writer(url, table, properties), checkpoint, trigger)
