@@ -70,25 +70,26 @@ def owner_activity(fact: DataFrame) -> DataFrame:
     )
 
 
+def all_counts(fact: DataFrame) -> dict[str, DataFrame]:
+    """The counts of every rollup, without a stamp."""
+    return {
+        name: events_per_minute(fact) if name == "minute" else count_by(fact, key)
+        for name, key in ROLLUP_KEYS.items()
+    }
+
+
 def partial_counts(fact: DataFrame) -> DataFrame:
     """The additive part of every rollup for one batch, as one table.
 
     A single job then writes them all, so the rollups of a batch appear together.
     """
-    minutes = events_per_minute(fact).select(
-        F.lit("minute").alias("rollup"), "minute", F.lit(None).cast("string").alias("key"), EVENT_COUNT
-    )
-    keyed = [
-        count_by(fact, column).select(
-            F.lit(name).alias("rollup"),
-            F.lit(None).cast("timestamp_ntz").alias("minute"),
-            F.col(column).alias("key"),
-            EVENT_COUNT,
-        )
-        for name, column in ROLLUP_KEYS.items()
-        if name != "minute"
-    ]
-    return reduce(DataFrame.unionAll, keyed, minutes)
+    columns = {"minute": "timestamp_ntz", "key": "string"}
+    parts = []
+    for name, counts in all_counts(fact).items():
+        key, stored = ROLLUP_KEYS[name], "minute" if name == "minute" else "key"
+        keys = [F.col(key).alias(c) if c == stored else F.lit(None).cast(t).alias(c) for c, t in columns.items()]
+        parts.append(counts.select(F.lit(name).alias("rollup"), *keys, EVENT_COUNT))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def add_up(partials: DataFrame) -> DataFrame:
