@@ -11,7 +11,8 @@ from eventpulse.sinks.tables import BatchTable, VersionedTable
 
 ENRICHED = [T.StructField("repo_owner", T.StringType()), T.StructField("repo_short_name", T.StringType())]
 
-# Membership filters let point lookups skip row groups that sorting cannot.
+# Membership filters let point lookups skip row groups that sorting cannot. They are
+# too large for the small files of a micro-batch.
 LOOKUPS = {
     f"parquet.bloom.filter.{setting}": "true"
     for setting in ("adaptive.enabled", "enabled#event_id", "enabled#actor_login")
@@ -42,7 +43,7 @@ class Lake:
             _fields(schemas.FACT, *(ENRICHED if enrich else []), date),
             partition_by=["event_date"],
             sort_by=["repo_id", "event_created_at"],
-            options=LOOKUPS,
+            compact_options=LOOKUPS,
         )
         self.quarantine = BatchTable(spark, f"{root}/quarantine", schemas.QUARANTINE)
         self.metrics = BatchTable(spark, f"{root}/metrics", schemas.INGEST_METRICS)

@@ -35,7 +35,8 @@ class BatchTable:
     """Rows addressed by the batch that wrote them: ``batches/batch_id=N/[partition/]``.
 
     ``merge`` tells how the rows of several batches combine when compacted:
-    kept as they are by default, or for instance summed by key.
+    kept as they are by default, or for instance summed by key. ``compact_options``
+    are writer options that only pay off in the large files of a compaction.
     """
 
     def __init__(
@@ -46,18 +47,16 @@ class BatchTable:
         partition_by: Sequence[str] = (),
         sort_by: Sequence[str] = (),
         merge: Callable[[DataFrame], DataFrame] | None = None,
-        options: dict[str, str] | None = None,
+        compact_options: dict[str, str] | None = None,
     ):
         self.spark, self.schema, self.merge = spark, schema, merge
-        self.partition_by, self.sort_by, self.options = partition_by, sort_by, options or {}
+        self.partition_by, self.sort_by = partition_by, sort_by
+        self.compact_options = compact_options or {}
         self._batches, self._compacted = f"{path}/batches", f"{path}/compacted"
 
-    def _write(self, df: DataFrame, path: str) -> None:
-        writer = (
-            _arranged(df.select(self.schema.fieldNames()), self.partition_by, self.sort_by)
-            .write.mode("overwrite")
-            .options(**self.options)
-        )
+    def _write(self, df: DataFrame, path: str, **options: str) -> None:
+        arranged = _arranged(df.select(self.schema.fieldNames()), self.partition_by, self.sort_by)
+        writer = arranged.write.mode("overwrite").options(**options)
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(path)
 
     def write(self, df: DataFrame, batch_id: int) -> None:
@@ -115,7 +114,8 @@ class BatchTable:
             return done[-1] if done else None
         base = self._batches
         rows = _read_paths(self.spark, base, [f"{base}/batch_id={n}" for n in fresh], self.schema)
-        self._write(self.merge(rows) if self.merge else rows, f"{self._compacted}/upto={fresh[-1]}")
+        merged = self.merge(rows) if self.merge else rows
+        self._write(merged, f"{self._compacted}/upto={fresh[-1]}", **self.compact_options)
         return fresh[-1]
 
 

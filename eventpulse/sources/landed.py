@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 def explode_responses(responses: DataFrame, text: str = "value") -> DataFrame:
     """One ``json`` row per event. Elements keep their own text, numbers and key order included.
 
-    A response that is no array becomes one row with its whole text, which then
-    classifies as malformed; an empty array has no rows.
+    A response that is no array becomes one row with its whole text, so that the
+    classification can reject it; an empty array has no rows.
     """
     parsed = responses.withColumn("_events", F.from_json(text, "array<string>"))
     texts = F.when(F.col("_events").isNull(), F.array(text)).otherwise(F.col("_events"))

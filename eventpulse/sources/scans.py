@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +21,15 @@ def scan_range(
     filter; the rest is pushed down to Parquet statistics and dictionaries.
     """
     dated = "event_date" in fact.columns
-    for bound, after in ((start, True), (end, False)):
-        if bound is None:
-            continue
-        moment, date = F.lit(bound).cast("timestamp_ntz"), F.lit(bound.date())
-        fact = fact.where(F.col(time) >= moment if after else F.col(time) < moment)
+    if start is not None:
+        fact = fact.where(F.col(time) >= F.lit(start).cast("timestamp_ntz"))
         if dated:
-            fact = fact.where(F.col("event_date") >= date if after else F.col("event_date") <= date)
+            fact = fact.where(F.col("event_date") >= F.lit(start.date()))
+    if end is not None:
+        fact = fact.where(F.col(time) < F.lit(end).cast("timestamp_ntz"))
+        if dated:
+            last = (end - timedelta(microseconds=1)).date()
+            fact = fact.where(F.col("event_date") <= F.lit(last))
     for column, value in equals.items():
         fact = fact.where(F.col(column) == F.lit(value))
     return fact
