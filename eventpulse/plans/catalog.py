@@ -17,7 +17,7 @@ from eventpulse.schemas import FACT_COLUMNS
 from eventpulse.session import pin_utc, work_dir
 from eventpulse.sources.landed import explode_responses
 from eventpulse.sources.log import read_log_files
-from eventpulse.sources.scans import scan_range
+from eventpulse.sources.scans import scan_range, spread
 from eventpulse.streaming.ingest import start_ingest
 from eventpulse.streaming.live import current_minutes, minute_table, start_live_minutes
 
@@ -31,9 +31,17 @@ def _fact(spark: SparkSession, sf_dir: str, repo: bool = True) -> DataFrame:
     return fixtures.fact(fixtures.source(pin_utc(spark), sf_dir), repo)
 
 
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spread(fixtures.source(pin_utc(spark), sf_dir))
+    return fixtures.raw_messages(fixtures.redelivered(fixtures.fact(events)))
+
+
+def _loose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.loose_messages(fixtures.fact(spread(fixtures.source(pin_utc(spark), sf_dir))))
+
+
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = fixtures.envelopes(fixtures.raw_messages(fixtures.redelivered(_fact(spark, sf_dir))))
-    return parse.classify(parse.project_envelope(log))
+    return parse.classify(parse.project_envelope(fixtures.envelopes(_messages(spark, sf_dir))))
 
 
 def parse_flatten(spark, sf_dir):
@@ -47,24 +55,27 @@ def quarantine_rows(spark, sf_dir):
 
 
 def landed_responses(spark, sf_dir):
-    messages = fixtures.raw_messages(fixtures.redelivered(_fact(spark, sf_dir)))
-    return parse.status_counts(parse.classify(explode_responses(fixtures.landed_responses(messages))))
+    pages = fixtures.landed_responses(_messages(spark, sf_dir))
+    return parse.status_counts(parse.classify(explode_responses(pages)))
 
 
 def canonical_event(spark, sf_dir):
     """Encoded as log messages, then decoded leaf by leaf."""
-    log = canonical.to_log(canonical.canonicalise(fixtures.loose_messages(_fact(spark, sf_dir))))
-    leaves = {
-        "id": "$.id", "type": "$.type", "actor_id": "$.actor.id", "actor_login": "$.actor.login",
-        "repo_id": "$.repo.id", "repo_name": "$.repo.name", "repo_url": "$.repo.url",
-        "created_at": "$.created_at", "payload": "$.payload", "public": "$.public", "org": "$.org",
-    }
-    texts = log.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("json"))
-    return texts.select("key", *[F.get_json_object("json", p).alias(name) for name, p in leaves.items()])
+    log = canonical.to_log(canonical.canonicalise(_loose(spark, sf_dir)))
+    decoded = parse.parse_once(
+        log.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("json")),
+        "id string, type string, actor struct<id:string,login:string>, repo struct<id:string,name:string,url:string>,"
+        " created_at string, payload string, public string, org string",
+    )
+    return decoded.select(
+        "key", "id", "type", "created_at", "payload", "public", "org",
+        F.col("actor.id").alias("actor_id"), F.col("actor.login").alias("actor_login"),
+        F.col("repo.id").alias("repo_id"), F.col("repo.name").alias("repo_name"), F.col("repo.url").alias("repo_url"),
+    )
 
 
 def type_violations(spark, sf_dir):
-    return parse.type_violations(parse.classify(fixtures.loose_messages(_fact(spark, sf_dir))))
+    return parse.type_violations(parse.classify(_loose(spark, sf_dir)))
 
 
 def _with_url(facts: DataFrame) -> DataFrame:
@@ -154,7 +165,7 @@ def stream_ingest_fact(spark, sf_dir):
     resumes from the checkpoint and meets stored events."""
     root = work_dir(pin_utc(spark), "stream_ingest_fact")
     lake = Lake(spark, f"{root}/lake")
-    messages = fixtures.raw_messages(fixtures.redelivered(_fact(spark, sf_dir)))
+    messages = _messages(spark, sf_dir)
     again = F.col("n") != F.col("kafka_offset")
     for wave in (messages.where(~again), messages.where(again)):
         fixtures.envelopes(wave).write.mode("append").parquet(f"{root}/log")
