@@ -1,7 +1,11 @@
 """One row per event id."""
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from __future__ import annotations
+
+from collections.abc import Iterable, Sequence
+from datetime import date
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LOG_ORDER = ("kafka_partition", "kafka_offset")
@@ -9,6 +13,9 @@ LOG_ORDER = ("kafka_partition", "kafka_offset")
 # Above this many distinct dates a batch prunes by its first and last date.
 MAX_LISTED_DATES = 366
 
+# Up to this many rows the keys of a batch are broadcast, some tens of megabytes.
+MAX_BROADCAST_ROWS = 1_000_000
+
 
 def dedup_batch(df: DataFrame, key: str = "event_id", order: tuple[str, ...] = LOG_ORDER) -> DataFrame:
     """The first arrival of each id.
@@ -24,32 +31,58 @@ def dedup_stream(df: DataFrame, delay: str, key: str = "event_id", time: str = "
     """Optional pre-filter with state bounded by ``delay``.
 
     It drops rows later than the watermark and forgets older ids, so it never
-    replaces drop_seen() in front of the fact table.
+    replaces first_unseen() in front of the fact table.
     """
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def prune_to_dates(stored: DataFrame, batch: DataFrame, column: str = "event_date") -> DataFrame:
+def rows_per_date(batch: DataFrame, column: str = "event_date") -> dict[date, int] | None:
+    """Row counts of the dates a batch touches, or None where there are too many to list."""
+    counts = batch.groupBy(column).count().limit(MAX_LISTED_DATES + 1).collect()
+    return dict(map(tuple, counts)) if len(counts) <= MAX_LISTED_DATES else None
+
+
+def prune_to_dates(stored: DataFrame, batch: DataFrame, dates: Iterable[date] | None) -> DataFrame:
     """Only the date partitions of ``stored`` that ``batch`` touches.
 
-    The dates become literals, so they prune the file listing. Their number is
-    checked; beyond the bound the range from first to last date prunes instead.
+    The dates become literals, so they prune the file listing. Where they are not
+    listed, the range from the batch's first to its last date prunes instead.
     """
-    listed = batch.select(column).distinct().limit(MAX_LISTED_DATES + 1).collect()
-    if len(listed) <= MAX_LISTED_DATES:
-        return stored.where(F.col(column).isin([row[0] for row in listed]))
+    column = F.col("event_date")
+    if dates is not None:
+        return stored.where(column.isin(list(dates)))
     first, last = batch.agg(F.min(column), F.max(column)).first()
-    return stored.where(F.col(column).between(first, last))
+    return stored.where(column.between(first, last))
 
 
-def drop_seen(batch: DataFrame, stored: DataFrame, on: tuple[str, ...] = ("event_date", "event_id")) -> DataFrame:
+def drop_seen(
+    batch: DataFrame,
+    stored: DataFrame,
+    on: Sequence[str],
+    keys: DataFrame | None = None,
+    small: bool = False,
+) -> DataFrame:
     """D3: the rows of the batch whose key is not stored yet.
 
-    The stored keys are first reduced to those the batch holds. That semi join
-    broadcasts the batch's keys where they are small and otherwise filters the
-    stored side at run time, so stored keys are not shuffled as a whole; what is
-    left is at most as large as the batch.
+    The stored keys are first reduced to those in ``keys`` (by default the
+    batch's own), so what is joined to the batch is never larger than that.
+    ``small`` states that the keys are known to fit a broadcast; stored keys are
+    then not shuffled at all.
     """
     on = list(on)
-    known = stored.select(on).join(batch.select(on).distinct(), on, "left_semi")
-    return batch.join(known, on, "left_anti")
+    arrived = (batch if keys is None else keys).select(on).distinct()
+    known = stored.select(on).join(F.broadcast(arrived) if small else arrived, on, "left_semi")
+    return batch.join(F.broadcast(known.distinct()) if small else known, on, "left_anti")
+
+
+def first_unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The first arrival of each id that a table by ``event_date`` does not hold.
+
+    An id always comes with the same date. ``batch`` should be persisted, since
+    its dates and keys are read next to its rows. Copies go first, so the join
+    meets each id once.
+    """
+    counts = rows_per_date(batch)
+    small = counts is not None and sum(counts.values()) <= MAX_BROADCAST_ROWS
+    stored = prune_to_dates(stored, batch, counts)
+    return drop_seen(dedup_batch(batch), stored, ("event_date", "event_id"), batch, small)

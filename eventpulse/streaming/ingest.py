@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventpulse.functions import at_rest, event_date
-from eventpulse.operators.dedup import dedup_batch, drop_seen, prune_to_dates
+from eventpulse.operators.dedup import first_unseen
 from eventpulse.operators.enrich import enrich_repo
 from eventpulse.operators.metrics import observed
 from eventpulse.operators.parse import classify, flatten, good_rows, project_envelope
@@ -43,8 +43,7 @@ def fact_writer(lake: Lake) -> Callable[[DataFrame, int], None]:
             lake.quarantine.write(rejected, batch_id)
 
             good = rows.where(F.col("status") == "ok").drop("status", "json")
-            stored = prune_to_dates(lake.fact.read(upto=batch_id - 1), good)
-            fresh = drop_seen(dedup_batch(good), stored)
+            fresh = first_unseen(good, lake.fact.read(upto=batch_id - 1))
             lake.fact.write(enrich_repo(fresh) if lake.enrich else fresh, batch_id)
 
             written = lake.fact.read_batch(batch_id)
