@@ -1,5 +1,8 @@
 """Declared constraints as queries for their violations."""
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,19 @@ def pk_violations(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def key_summary(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """C1 over many tables (name to rows and key): how many keys are repeated or NULL in each."""
+    found = [
+        pk_violations(df, key).agg(
+            F.lit(name).alias("table_name"),
+            F.count_if(F.col(key).isNotNull()).alias("repeated_keys"),
+            F.count_if(F.col(key).isNull()).alias("null_keys"),
+        )
+        for name, (df, key) in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
 def null_violations(df: DataFrame, columns: list[str] = FACT_NOT_NULL) -> DataFrame:
     """One row with the number of NULLs of each column, from one pass."""
     return df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from eventpulse.operators import canonical, dedup, dims, enrich, metrics, parse, quality, rollups
 from eventpulse.plans import dashboards, fixtures
 from eventpulse.plans.lake import Lake
-from eventpulse.plans.refresh import publish_rollups
-from eventpulse.schemas import FACT_COLUMNS
+from eventpulse.plans.refresh import all_rollups, publish_rollups
+from eventpulse.schemas import FACT_COLUMNS, PRIMARY_KEYS
 from eventpulse.session import pin_utc, work_dir
 from eventpulse.sources.landed import explode_responses
 from eventpulse.sources.log import read_log_files
@@ -113,6 +113,24 @@ def orphan_events(spark, sf_dir):
     return quality.orphan_counts(facts, known, "actor_id")
 
 
+def orphan_repos(spark, sf_dir):
+    facts = _fact(spark, sf_dir)
+    known = dims.build_repos(facts).where("repo_id % 5 <> 4")
+    return quality.orphan_counts(facts, known, "repo_id")
+
+
+def key_checks(spark, sf_dir):
+    """The declared key of every table, the fact table being one with redeliveries."""
+    facts = _fact(spark, sf_dir)
+    tables = all_rollups(facts, AS_OF) | {
+        "fact": fixtures.redelivered(facts),
+        "repos": dims.build_repos(facts),
+        "actors": dims.build_actors(facts),
+        "events": facts,
+    }
+    return quality.key_summary({name: (df, PRIMARY_KEYS[name]) for name, df in tables.items()})
+
+
 def star_join(spark, sf_dir):
     facts = _fact(spark, sf_dir)
     repos = dims.build_repos(facts).where("repo_id % 5 <> 4")
@@ -206,6 +224,7 @@ QUERIES: dict[str, Query] = {
     "dim_repos_upsert": dim_repos_upsert,
     "events_normalized": events_normalized,
     "orphan_events": orphan_events,
+    "orphan_repos": orphan_repos,
     "star_join": star_join,
     "repo_time_range": repo_time_range,
     "actor_lookup": actor_lookup,
@@ -213,6 +232,7 @@ QUERIES: dict[str, Query] = {
         fixtures.redelivered(_fact(s, d, repo=False)), "event_id"
     ),
     "null_violations": lambda s, d: quality.null_violations(_fact(s, d), ["event_type", "repo_name"]),
+    "key_checks": key_checks,
     "rollup_refresh": rollup_refresh,
     "incremental_rollup": incremental_rollup,
     "stream_ingest_fact": stream_ingest_fact,

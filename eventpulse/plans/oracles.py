@@ -43,6 +43,25 @@ REPOS = f"""{G} SELECT repo_id, arg_max(repo_name, kafka_offset) AS repo_name,
 ACTORS = f"{G} SELECT actor_id, arg_max(actor_login, kafka_offset) AS login FROM g GROUP BY actor_id"
 
 
+KEYS = [
+    ("fact", "event_id", "red"),
+    ("minute", "minute", "(SELECT DISTINCT date_trunc('minute', event_created_at) AS minute FROM g)"),
+    ("types", "event_type", "(SELECT DISTINCT event_type FROM g)"),
+    ("repo_activity", "repo_name", "(SELECT DISTINCT repo_name FROM g)"),
+    ("actor_activity", "actor_login", "(SELECT DISTINCT actor_login FROM g)"),
+    ("repos", "repo_id", "(SELECT DISTINCT repo_id FROM g)"),
+    ("actors", "actor_id", "(SELECT DISTINCT actor_id FROM g)"),
+    ("events", "event_id", "g"),
+]
+
+
+def _key_check(table: str, key: str, rows: str) -> str:
+    return f"""SELECT '{table}' AS table_name,
+      (SELECT count(*) FROM (SELECT {key} FROM {rows} WHERE {key} IS NOT NULL
+        GROUP BY {key} HAVING count(*) > 1)) AS repeated_keys,
+      (SELECT CAST(count(*) > 0 AS BIGINT) FROM {rows} WHERE {key} IS NULL) AS null_keys"""
+
+
 def _top(key: str) -> str:
     return f"""{G} SELECT {key}, count(*) AS event_count FROM g WHERE {key} IS NOT NULL
       GROUP BY {key} ORDER BY event_count DESC, {key} LIMIT 10"""
@@ -94,6 +113,9 @@ ORACLES = {
       event_created_at AS created_at, repo_id AS payload_k FROM g""",
     "orphan_events": f"""{G} SELECT actor_id, count(*) AS event_count FROM g WHERE actor_id % 10 = 3
       GROUP BY actor_id""",
+    "orphan_repos": f"""{G} SELECT repo_id, count(*) AS event_count FROM g WHERE repo_id % 5 = 4
+      GROUP BY repo_id""",
+    "key_checks": RED + " UNION ALL ".join(_key_check(*check) for check in KEYS),
     "star_join": f"""{G} SELECT event_id, event_type, repo_id, actor_id, event_created_at AS created_at,
       CASE WHEN repo_id % 5 <> 4 THEN repo_name END AS repo_name,
       CASE WHEN actor_id % 10 <> 3 THEN actor_login END AS login FROM g""",

@@ -22,9 +22,10 @@ def _arranged(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]
     The rebalance hint lets AQE split a large partition value over several tasks
     and join small ones, so one hot date is not one task.
     """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(name) for name in partition_by])
-    return df.sortWithinPartitions(*partition_by, *sort_by) if sort_by else df
+    if not sort_by:
+        return df
+    gathered = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    return gathered.sortWithinPartitions(*partition_by, *sort_by)
 
 
 def _read_paths(spark: SparkSession, base: str, paths: list[str], schema: T.StructType) -> DataFrame:
@@ -34,6 +35,7 @@ def _read_paths(spark: SparkSession, base: str, paths: list[str], schema: T.Stru
 class BatchTable:
     """Rows addressed by the batch that wrote them: ``batches/batch_id=N/[partition/]``.
 
+    With ``sort_by``, rows are gathered by partition and sorted before they are written.
     ``merge`` tells how the rows of several batches combine when compacted:
     kept as they are by default, or for instance summed by key. ``compact_options``
     are writer options that only pay off in the large files of a compaction.
