@@ -20,7 +20,7 @@ def explode_responses(responses: DataFrame, text: str = "value") -> DataFrame:
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """Files of one response each. A response is one page of events, so it is read whole."""
-    files = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("response"))
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("response"))
     return explode_responses(files)
 
 
