@@ -61,6 +61,15 @@ class Lake:
         """The incremental form of a rollup, all batches added up."""
         return rollup_totals(self.partials.read(upto), name)
 
+    def _batch_tables(self) -> tuple[BatchTable, ...]:
+        return self.fact, self.quarantine, self.partials, self.metrics
+
     def compact(self) -> None:
-        for table in (self.fact, self.quarantine, self.partials, self.metrics):
+        """Merge small batches, so that a read lists few directories."""
+        for table in self._batch_tables():
             table.compact()
+
+    def expire(self) -> None:
+        """Delete what compactions and later versions have replaced."""
+        for table in (*self._batch_tables(), *self.rollups.values(), self.repos, self.actors):
+            table.expire()

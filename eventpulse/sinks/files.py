@@ -24,3 +24,8 @@ def committed(spark: SparkSession, path: str) -> bool:
     """True once the job that wrote the directory has finished."""
     marker, fs = _path(spark, f"{path}/_SUCCESS")
     return fs.exists(marker)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder, fs = _path(spark, path)
+    fs.delete(folder, True)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventpulse.sinks.files import committed, numbered
+from eventpulse.sinks.files import committed, numbered, remove
 
 
 def _arranged(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
@@ -91,9 +91,12 @@ class BatchTable:
         Each compaction holds the batches since the one before, so the batches
         after the last one complete it.
         """
-        folds = [n for n in self.compactions() if upto is None or n <= upto]
+        done = self.compactions()
+        folds = [n for n in done if upto is None or n <= upto]
         after = folds[-1] if folds else -1
         live = [n for n in self.batches() if n > after and (upto is None or n <= upto)]
+        if len(folds) < len(done) and live != list(range(after + 1, upto + 1)):
+            raise ValueError(f"batches up to {upto} are no longer kept apart from later ones")
         parts = [
             _read_paths(self.spark, base, [f"{base}/{name}={n}" for n in ids], self.schema)
             for base, name, ids in ((self._compacted, "upto", folds), (self._batches, "batch_id", live))
@@ -120,6 +123,14 @@ class BatchTable:
         self._write(merged, f"{self._compacted}/upto={fresh[-1]}", **self.compact_options)
         return fresh[-1]
 
+    def expire(self) -> None:
+        """Delete batches that a compaction replaced, except the newest compaction's:
+        readers that began before it may still hold them."""
+        done = self.compactions()
+        for n in numbered(self.spark, self._batches, "batch_id") if len(done) > 1 else []:
+            if n <= done[-2]:
+                remove(self.spark, f"{self._batches}/batch_id={n}")
+
 
 class VersionedTable:
     """K2: a table refreshed as a whole; readers see the newest finished version."""
@@ -132,9 +143,17 @@ class VersionedTable:
         df.select(self.schema.fieldNames()).write.mode("errorifexists").parquet(f"{self.path}/version={version}")
         return version
 
+    def _finished(self) -> list[str]:
+        paths = [f"{self.path}/version={n}" for n in numbered(self.spark, self.path, "version")]
+        return [path for path in paths if committed(self.spark, path)]
+
     def read(self) -> DataFrame:
-        for version in reversed(numbered(self.spark, self.path, "version")):
-            path = f"{self.path}/version={version}"
-            if committed(self.spark, path):
-                return self.spark.read.schema(self.schema).parquet(path)
-        return self.spark.createDataFrame([], self.schema)
+        paths = self._finished()
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(paths[-1])
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete all but the newest finished versions."""
+        for path in self._finished()[:-max(keep, 1)]:
+            remove(self.spark, path)

@@ -28,12 +28,13 @@ def ingest_rows(log: DataFrame) -> DataFrame:
     return at_rest(rows).withColumn("event_date", event_date())
 
 
-def fact_writer(lake: Lake) -> Callable[[DataFrame, int], None]:
+def fact_writer(lake: Lake, compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
     """K3: writes one micro-batch of ingest_rows() to every table of the lake.
 
     Everything is addressed by the batch id and compared only with earlier
     batches, so a repeated batch ends in the same state. Offsets are committed
     after it returns (D4). No row is dropped for being late (W5).
+    ``compact_every`` batches, the ones before are merged.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -49,6 +50,8 @@ def fact_writer(lake: Lake) -> Callable[[DataFrame, int], None]:
             written = lake.fact.read_batch(batch_id)
             lake.partials.write(partial_counts(written), batch_id)
             lake.metrics.write(_batch_metrics(rows, written), batch_id)
+            if compact_every and batch_id % compact_every == compact_every - 1:
+                lake.compact()
         finally:
             rows.unpersist()
 
@@ -83,14 +86,18 @@ def _start(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint:
 
 
 def start_ingest(
-    log: DataFrame, lake: Lake, checkpoint: str, trigger: dict[str, object] = ALL_AVAILABLE
+    log: DataFrame,
+    lake: Lake,
+    checkpoint: str,
+    trigger: dict[str, object] = ALL_AVAILABLE,
+    compact_every: int | None = 100,
 ) -> StreamingQuery:
     """``trigger`` holds the arguments of Spark's trigger(), e.g. ``{"processingTime": "1 minute"}``.
 
     The batch ids of the checkpoint address the lake's tables, so the two belong together.
     """
     pin_utc(log.sparkSession)
-    return _start(ingest_rows(log), fact_writer(lake), checkpoint, trigger)
+    return _start(ingest_rows(log), fact_writer(lake, compact_every), checkpoint, trigger)
 
 
 def start_jdbc_ingest(

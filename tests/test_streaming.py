@@ -31,9 +31,9 @@ def land(messages, path):
     fixtures.envelopes(messages).coalesce(1).write.mode("append").parquet(path)
 
 
-def ingest(spark, root, lake, files=1):
-    log = read_log_files(spark, f"{root}/log", max_files_per_trigger=files)
-    query = start_ingest(log, lake, f"{root}/checkpoint")
+def ingest(spark, root, lake, **options):
+    log = read_log_files(spark, f"{root}/log", max_files_per_trigger=1)
+    query = start_ingest(log, lake, f"{root}/checkpoint", **options)
     query.awaitTermination()
     return query
 
@@ -87,8 +87,10 @@ def test_arrival_out_of_order_keeps_every_id(spark, small):
     messages = valid_messages(spark, small)
     for b in range(5):
         land(messages.where(F.col("n") % 5 == b), f"{root}/log")
-    ingest(spark, root, lake)
+    ingest(spark, root, lake, compact_every=2)
     assert lake.fact.batches() == [0, 1, 2, 3, 4]
+    assert lake.fact.compactions() == [0, 2]
+    lake.expire()
     assert ids(lake.fact.read()) == sorted(str(r.n) for r in messages.select("n").collect())
 
 

@@ -83,6 +83,19 @@ def test_failed_compaction_is_not_read(spark, table):
     assert content(table.read()) == [("k0", 0), ("k1", 1), ("k2", 2), ("k3", 3)]
 
 
+def test_expiry_keeps_the_rows(spark, table):
+    for i in range(6):
+        table.write(frame(spark, **{f"k{i}": i}), i)
+        if i in (2, 4):
+            table.compact()
+    table.expire()
+    assert table.batches() == [2, 3, 4, 5]
+    assert content(table.read()) == [(f"k{j}", j) for j in range(6)]
+    assert content(table.read(upto=2)) == [(f"k{j}", j) for j in range(3)]
+    with pytest.raises(ValueError):
+        table.read(upto=0)
+
+
 def test_compaction_merges(spark):
     def add(df):
         return df.groupBy("k").agg(F.sum("v").alias("v"))
@@ -119,3 +132,7 @@ def test_versions(spark):
     unfinish(f"{table.path}/version=1")
     assert content(table.read()) == [("a", 1)]
     assert table.publish(frame(spark, a=3)) == 2
+    assert table.publish(frame(spark, a=4)) == 3
+    table.expire()
+    assert content(table.read()) == [("a", 4)]
+    assert not os.path.exists(f"{table.path}/version=0".removeprefix("file:"))
