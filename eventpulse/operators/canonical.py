@@ -3,11 +3,12 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventpulse.functions import key_present
+from eventpulse.functions import at_rest, event_time, key_present
 from eventpulse.operators.parse import parse_once
 from eventpulse.schemas import CANONICAL_TEXT
 
 CANONICAL_FIELDS = CANONICAL_TEXT.fieldNames()
+LOG_POSITION = ["kafka_partition", "kafka_offset", "kafka_timestamp"]
 
 
 def _unless_absent(field: str, default: Column) -> Column:
@@ -39,6 +40,28 @@ def canonicalise(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
 
 
+def event_rows(canonical: DataFrame) -> DataFrame:
+    """Flat rows with what the fact table leaves out: repository url and payload.
+
+    They feed build_repos() and normalised_events(); ``canonical`` keeps the
+    message position.
+    """
+    return at_rest(
+        canonical.select(
+            F.col("id").alias("event_id"),
+            F.col("type").alias("event_type"),
+            event_time("created_at").alias("event_created_at"),
+            F.col("actor.id").alias("actor_id"),
+            F.col("actor.login").alias("actor_login"),
+            F.col("repo.id").alias("repo_id"),
+            F.col("repo.name").alias("repo_name"),
+            F.col("repo.url").alias("repo_url"),
+            "payload",
+            *LOG_POSITION,
+        )
+    )
+
+
 def to_log(canonical: DataFrame) -> DataFrame:
     """K4: key (event id) and value (JSON with nulls written) as bytes."""
     body = F.struct(

@@ -75,14 +75,16 @@ def drop_seen(
     return batch.join(F.broadcast(known.distinct()) if small else known, on, "left_anti")
 
 
-def first_unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
+def first_unseen(batch: DataFrame, stored: DataFrame, same_date: bool = True) -> DataFrame:
     """The first arrival of each id that a table by ``event_date`` does not hold.
 
-    An id always comes with the same date. ``batch`` should be persisted, since
-    its dates and keys are read next to its rows. Copies go first, so the join
-    meets each id once.
+    ``batch`` should be persisted, since its dates and keys are read next to its
+    rows. Copies go first, so the join meets each id once. An id is taken to come
+    with the same date each time, which bounds the stored partitions to read;
+    without ``same_date`` the ids of all partitions are compared.
     """
     counts = rows_per_date(batch)
     small = counts is not None and sum(counts.values()) <= MAX_BROADCAST_ROWS
-    stored = prune_to_dates(stored, batch, counts)
-    return drop_seen(dedup_batch(batch), stored, ("event_date", "event_id"), batch, small)
+    on = ("event_date", "event_id") if same_date else ("event_id",)
+    stored = prune_to_dates(stored, batch, counts) if same_date else stored
+    return drop_seen(dedup_batch(batch), stored, on, batch, small)

@@ -107,6 +107,18 @@ def events_normalized(spark, sf_dir):
     return normalised.withColumn("payload_k", F.variant_get("payload", "$.k", "bigint")).drop("payload")
 
 
+def events_from_messages(spark, sf_dir):
+    """M3 and M1's url, from whole messages instead of the fact table."""
+    rows = canonical.event_rows(canonical.canonicalise(_loose(spark, sf_dir), keep=canonical.LOG_POSITION))
+    events = dims.normalised_events(rows)
+    return events.withColumn("payload", F.to_json("payload"))
+
+
+def dim_repos_from_messages(spark, sf_dir):
+    rows = canonical.event_rows(canonical.canonicalise(_loose(spark, sf_dir), keep=canonical.LOG_POSITION))
+    return dims.build_repos(rows).select(REPO_COLUMNS)
+
+
 def orphan_events(spark, sf_dir):
     facts = _fact(spark, sf_dir, repo=False)
     known = dims.build_actors(facts).where("actor_id % 10 <> 3")
@@ -222,7 +234,9 @@ QUERIES: dict[str, Query] = {
     "dim_repos": dim_repos,
     "dim_actors": lambda s, d: dims.build_actors(_fact(s, d, repo=False)).select("actor_id", "login"),
     "dim_repos_upsert": dim_repos_upsert,
+    "dim_repos_from_messages": dim_repos_from_messages,
     "events_normalized": events_normalized,
+    "events_from_messages": events_from_messages,
     "orphan_events": orphan_events,
     "orphan_repos": orphan_repos,
     "star_join": star_join,

@@ -111,6 +111,13 @@ ORACLES = {
     "dim_repos_upsert": REPOS,
     "events_normalized": f"""{G} SELECT event_id, event_type, repo_id, actor_id,
       event_created_at AS created_at, repo_id AS payload_k FROM g""",
+    "events_from_messages": f"""{G} SELECT event_id, event_type,
+      CAST(CASE WHEN n % 73 <> 0 THEN CAST(repo_id AS VARCHAR) END AS BIGINT) AS repo_id,
+      CAST(CASE WHEN n % 79 <> 0 THEN CAST(actor_id AS VARCHAR) END AS BIGINT) AS actor_id,
+      event_created_at AS created_at,
+      CASE WHEN n % 4 = 0 THEN '{{}}' WHEN n % 4 > 1 THEN '{{"k":' || CAST(repo_id AS VARCHAR) || '}}' END AS payload
+      FROM g""",
+    "dim_repos_from_messages": REPOS.replace("FROM g GROUP", "FROM g WHERE n % 73 <> 0 GROUP"),
     "orphan_events": f"""{G} SELECT actor_id, count(*) AS event_count FROM g WHERE actor_id % 10 = 3
       GROUP BY actor_id""",
     "orphan_repos": f"""{G} SELECT repo_id, count(*) AS event_count FROM g WHERE repo_id % 5 = 4

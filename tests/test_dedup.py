@@ -45,7 +45,8 @@ def test_drop_seen(spark, small):
     stored = rows(spark, ("a", 0, 0, D1), ("z", 0, 0, D1), ("b", 0, 0, D2))
     assert sorted(r.event_id for r in dedup.drop_seen(batch, stored, on, small=small).collect()) == ["b", "c", "c"]
     assert dedup.drop_seen(batch, stored.limit(0), on, small=small).count() == 4
-    assert sorted(r.event_id for r in dedup.drop_seen(batch, stored, ("event_id",), small=small).collect()) == ["c", "c"]
+    anywhere = dedup.drop_seen(batch, stored, ("event_id",), small=small)
+    assert sorted(r.event_id for r in anywhere.collect()) == ["c", "c"]
 
 
 @pytest.mark.parametrize("dates, broadcast", [(366, 1_000_000), (366, 0), (1, 1_000_000)])
@@ -59,6 +60,12 @@ def test_first_unseen_beyond_its_bounds(spark, monkeypatch, dates, broadcast):
     assert dedup.first_unseen(batch.limit(0), stored).count() == 0
 
 
+def test_first_unseen_over_all_dates(spark):
+    batch, stored = rows(spark, ("a", 0, 1, D1), ("b", 0, 2, D1)), rows(spark, ("a", 0, 0, D2))
+    assert sorted(r.event_id for r in dedup.first_unseen(batch, stored).collect()) == ["a", "b"]
+    assert [r.event_id for r in dedup.first_unseen(batch, stored, same_date=False).collect()] == ["b"]
+
+
 def test_prune_lists_dates_up_to_a_bound(spark, monkeypatch):
     batch = rows(spark, ("a", 0, 1, D1), ("b", 0, 2, date(2024, 1, 3)), ("c", 0, 3, date(2024, 1, 3)))
     stored = rows(spark, *[(str(i), 0, i, date(2024, 1, i)) for i in range(1, 6)])

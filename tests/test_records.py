@@ -118,7 +118,8 @@ def test_repo_names(spark):
 CANONICAL = [
     ({}, {"payload": {}, "public": True, "org": None}),
     ({"public": None, "payload": None}, {"payload": None, "public": None, "org": None}),
-    ({"public": False, "payload": {"b": 1, "a": [1.5, None]}}, {"payload": {"a": [1.5, None], "b": 1}, "public": False}),
+    ({"public": False}, {"public": False}),
+    ({"payload": {"b": 1, "a": [1.5, None]}}, {"payload": {"a": [1.5, None], "b": 1}}),
     ({"org": {}}, {"org": None}),
     ({"org": None}, {"org": None}),
     ({"org": {"id": 3, "login": "acme"}}, {"org": {"id": 3}}),
