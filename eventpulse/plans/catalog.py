@@ -208,7 +208,9 @@ def stream_minute(spark, sf_dir):
     root = work_dir(pin_utc(spark), "stream_minute")
     events = fixtures.source_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("event_created_at"))
     table = minute_table(spark, f"{root}/minutes")
-    start_live_minutes(events, table, f"{root}/checkpoint").awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    query = start_live_minutes(events, table, f"{root}/checkpoint", state_partitions=cores)
+    query.awaitTermination()
     return current_minutes(table)
 
 

@@ -13,6 +13,8 @@ from eventpulse.session import pin_utc
 from eventpulse.sinks.tables import BatchTable
 from eventpulse.streaming.ingest import ALL_AVAILABLE
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def _newest(counts: DataFrame) -> DataFrame:
     """A minute's running count only grows, so its newest value is its largest."""
@@ -42,17 +44,28 @@ def start_live_minutes(
     delay: str | None = None,
     mode: str = "update",
     trigger: dict[str, object] = ALL_AVAILABLE,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """``update`` writes the minutes each batch changed; ``append`` only final ones."""
-    pin_utc(events.sparkSession)
-    return (
+    """``update`` writes the minutes each batch changed; ``append`` only final ones.
+
+    The state is small, and every batch commits each of its partitions.
+    ``state_partitions`` sets their number for a new checkpoint, by default the
+    session's shuffle partitions; a restart keeps what the checkpoint has.
+    """
+    spark = pin_utc(events.sparkSession)
+    partitions = spark.conf.get(SHUFFLE_PARTITIONS)
+    writer = (
         live_minutes(events, delay)
         .writeStream.foreachBatch(lambda batch, batch_id: table.write(at_rest(batch), batch_id))
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .start()
     )
+    spark.conf.set(SHUFFLE_PARTITIONS, str(state_partitions or partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, partitions)
 
 
 def current_minutes(table: BatchTable) -> DataFrame:

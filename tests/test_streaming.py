@@ -199,6 +199,17 @@ def test_live_minutes_with_a_delay_drop_rows_behind_it(spark):
     assert live(spark, BATCHES, delay="10 minutes") == {at(0): 1, at(1): 2, at(60): 1, at(61): 1}
 
 
+def test_state_partitions_are_set_for_the_stream_alone(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    root = work_dir(spark, "state")
+    land_times(spark, f"{root}/in", at(0), at(1))
+    table = minute_table(spark, f"{root}/minutes")
+    query = start_live_minutes(minutes_stream(spark, f"{root}/in"), table, f"{root}/ck", state_partitions=3)
+    query.awaitTermination()
+    assert query.lastProgress.stateOperators[0].numShufflePartitions == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_append_mode_holds_back_open_minutes(spark):
     assert live(spark, BATCHES, delay="10 minutes", mode="append") == {at(0): 1, at(1): 2}
 
