@@ -4,7 +4,7 @@ One hash function ranks the five-word shingles of a text; the sketch is the K
 smallest. Texts with the same shingle set form a class, and classes are compared:
 
 1. Two sets with Jaccard similarity of 0.75 share MIN_SHARED of K sketch values,
-   but for a chance below 10**-10 (a set of at most K shingles is its own sketch
+   but for a chance below 10**-8 (a set of at most K shingles is its own sketch
    and the bound is exact). So it is enough to list each sketch under its rarest
    ``size - MIN_SHARED + 1`` values: passages that many texts hold come last. At
    the first value that a pair shares, its places in both orders bound the
@@ -38,8 +38,8 @@ from eventpulse.llm.words import SPACED, slices, windows, words_of
 K = 192
 MIN_SHARED = 102
 SHINGLE = 5
-#: Sizes of the table of value frequencies that orders the lists: fixed, whatever the corpus.
-BUCKETS = 1 << 20
+#: Size of the table of value frequencies that orders the lists (16 MB): fixed, whatever the corpus.
+BUCKETS = 1 << 21
 #: Estimates are off by a standard deviation of 0.032 at most; six of them are let through.
 ESTIMATE = 0.75 - 6 * (0.75 * 0.25 / K) ** 0.5
 
@@ -78,15 +78,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequencies(classes: DataFrame):
-    """Broadcast counts of sketch values by bucket; buckets near the mean count as rare."""
-    counts = (
-        classes.select(F.explode("sketch").alias("value"))
-        .groupBy(F.col("value").bitwiseAND(BUCKETS - 1).cast("int").alias("bucket")).count()
-    )
-    mean = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0] / BUCKETS
-    heavy = counts.where(F.col("count") > 2 * mean + 8 * mean**0.5 + 8).toArrow()
+    """Broadcast counts of sketch values by bucket."""
+    values = classes.select(F.explode("sketch").alias("value"))
+    buckets = values.groupBy(F.col("value").bitwiseAND(BUCKETS - 1).cast("int").alias("bucket"))
+    counts = buckets.agg(F.count("*").alias("n")).toArrow()
     weight = np.zeros(BUCKETS, np.int64)
-    weight[heavy["bucket"].to_numpy()] = heavy["count"].to_numpy()
+    weight[counts["bucket"].to_numpy()] = counts["n"].to_numpy()
     return classes.sparkSession.sparkContext.broadcast(weight)
 
 
@@ -116,13 +113,16 @@ def _lists(classes: DataFrame) -> DataFrame:
 def _possible(a: str, b: str):
     """Whether list entries a and b, if this is their first shared value, can still be linked.
 
-    Sizes must be within 3:4. Of the values after this one, all may be shared; whole
-    sets then need 3/7 of both sizes, sketches cut at K need MIN_SHARED.
+    Sizes must be within 3:4, and linked sets share 3/7 of the sum of their sizes. Of
+    the values from this one on, all may be shared. Whole sets need that number; of
+    sketches cut at K the larger set's density gives the expected number, and seven
+    standard deviations less are needed.
     """
     na, nb, low, high = F.col(f"{a}.n"), F.col(f"{b}.n"), F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
     rest = F.least(F.least(na, F.lit(K)) - F.col(f"{a}.place"), F.least(nb, F.lit(K)) - F.col(f"{b}.place"))
-    whole = F.when(high <= K, 7 * rest >= 3 * (na + nb)).otherwise(rest >= F.least(F.lit(MIN_SHARED), F.ceil(low * 0.75)))
-    return (4 * low >= 3 * high) & whole
+    mean = 3 * K * (1 + low / high) / 7
+    cut = rest >= F.floor(mean - 7 * F.sqrt(mean * (1 - mean / K)))
+    return (4 * low >= 3 * high) & F.when(high <= K, 7 * rest >= 3 * (na + nb)).otherwise(cut)
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
