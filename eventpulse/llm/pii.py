@@ -35,7 +35,7 @@ STRICT = 4
 #: Name, pattern, and a string without which there is no match.
 GENERATORS = (
     ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
-    ("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", "."),
+    ("ip", r"(?=[0-9])(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", "."),
     ("card", r"[0-9](?:[\x20-]?[0-9])++", ""),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
     ("number", r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,40}+", ""),
