@@ -127,7 +127,7 @@ def learn(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Filter:
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= fit_rows)
     chosen = stored(chosen.select("doc_id", "lang").distinct(), "fit")
-    texts = only(rows, chosen.select("doc_id")).join(chosen, "doc_id").select("doc_id", "text", "lang")
+    texts = only(rows.select("doc_id", "text"), chosen.select("doc_id")).join(chosen, "doc_id").select("doc_id", "text", "lang")
     used = texts.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     used = stored(used, "grams")
     share = used.join(used.groupBy("lang").agg(F.sum("n").alias("all")), "lang").withColumn("f", F.col("n") / F.col("all"))

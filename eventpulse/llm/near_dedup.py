@@ -141,8 +141,10 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that are linked."""
-    left = classes.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"))
-    right = classes.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    own = stored(only(classes.select("cls", "sketch"), ends, "cls"), "ends")
+    left = own.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"))
+    right = own.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"))
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
     near = stored(near.mapInArrow(_estimated, "a long, b long"), "near")
     ids = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "rep"), "cls")
@@ -155,6 +157,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
     linked = joined.where("100 * shared >= 75 * (size(ia) + size(ib) - shared)").select("a", "b")
     linked = stored(linked, "linked")
     discard(sets)
+    discard(own)
     return linked
 
 
@@ -202,9 +205,13 @@ def _links(classes: DataFrame, texts: DataFrame) -> DataFrame:
     label = stored(label, "labelled")
     mixed = label.groupBy("value").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("value")
     mixed = stored(label.join(mixed, "value"), "mixed")
-    one = mixed.select("value", F.col("x").alias("a"), F.col("part").alias("pa"))
-    two = mixed.select("value", F.col("x").alias("b"), F.col("part").alias("pb"))
-    across = one.join(two, (one.value == two.value) & (F.col("a.cls") < F.col("b.cls")) & (F.col("pa") != F.col("pb")) & _possible("a", "b"))
+    # a pair is met at its first shared value only: entries carry the values listed before them
+    seen = Window.partitionBy("x.cls").orderBy("x.place").rowsBetween(Window.unboundedPreceding, -1)
+    mixed = mixed.withColumn("earlier", F.collect_list("value").over(seen))
+    one = mixed.select("value", F.col("x").alias("a"), F.col("part").alias("pa"), F.col("earlier").alias("ea"))
+    two = mixed.select("value", F.col("x").alias("b"), F.col("part").alias("pb"), F.col("earlier").alias("eb"))
+    apart = (F.col("a.cls") < F.col("b.cls")) & (F.col("pa") != F.col("pb"))
+    across = one.join(two, (one.value == two.value) & apart & _possible("a", "b") & ~F.arrays_overlap("ea", "eb"))
     across = across.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
     across = stored(across.join(pairs, ["a", "b"], "left_anti"), "across")
     known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))

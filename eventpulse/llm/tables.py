@@ -44,31 +44,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SIEVE_BITS = 1 << 27
 
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows (doc_id, text) whose id is in ``ids`` (one column, doc_id).
+def only(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose ``key``, a long, is in ``ids`` (one column of that name).
 
-    A bitmap of hashed ids drops most other texts before the shuffle. Its size is
+    A bitmap of hashed ids drops most other rows before the shuffle. Its size is
     bounded: with more ids it lets more rows through, and the join decides.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     shift = 64 - (SIEVE_BITS - 1).bit_length()
-    place = F.shiftrightunsigned(F.xxhash64("doc_id"), shift)
+    place = F.shiftrightunsigned(F.xxhash64(key), shift)
     bits = ids.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
     maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
     sieve = np.zeros(SIEVE_BITS // 8 + 4096, np.uint8)
     for bucket, block in zip(maps["bucket"].to_pylist(), maps["bits"].to_pylist(), strict=True):
         sieve[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(block, np.uint8)
     shared = spark.sparkContext.broadcast(sieve)
+    width = len(rows.columns)
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            yield batch.filter(pa.array((own[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1)).select([0, 1])
+            at = batch.column(width).to_numpy()
+            yield batch.select(range(width)).filter(pa.array((own[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1))
 
     spot = (F.bitmap_bucket_number(place) - 1) * 32768 + F.bitmap_bit_position(place)
-    near = docs.where("doc_id is not null").select("doc_id", "text", spot.alias("spot")).mapInArrow(drop, "doc_id long, text string")
-    return near.join(ids.distinct(), "doc_id", "left_semi")
+    near = rows.where(F.col(key).isNotNull()).withColumn("_spot", spot).mapInArrow(drop, rows.schema)
+    return near.join(ids.distinct(), key, "left_semi")
 
 
 def remainder(column: str, modulus: int):
