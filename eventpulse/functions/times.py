@@ -4,10 +4,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+FULL = r"^\s*\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
+
 
 def event_time(text: str | Column) -> Column:
-    """ISO-8601 text to an instant; NULL where the text is no timestamp."""
-    return F.try_to_timestamp(F.col(text) if isinstance(text, str) else text)
+    """ISO-8601 date and time to an instant; NULL for any other text, a mere time of day included."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.when(text.rlike(FULL), F.try_to_timestamp(text))
 
 
 def minute_start(window: str = "window") -> Column:

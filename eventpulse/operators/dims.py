@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from eventpulse.schemas import ACTORS, REPOS
 
-NEWEST = ("event_created_at", "kafka_offset")
+NEWEST = ("event_created_at", "kafka_partition", "kafka_offset")
+
+
+def _newest(events: DataFrame) -> Column:
+    """Event time, then place in the log; offsets compare within a partition only."""
+    return F.struct(*[name for name in NEWEST if name in events.columns])
 
 
 def _latest(value: str, order: Column) -> Column:
@@ -30,7 +35,7 @@ def build_repos(events: DataFrame, side: DataFrame | None = None) -> DataFrame:
 
     ``side`` may supply ``language`` and ``stars`` by ``repo_id``; events do not carry them.
     """
-    order = F.struct(*NEWEST)
+    order = _newest(events)
     known = [name for name in ("repo_name", "repo_url") if name in events.columns]
     repos = (
         events.where(F.col("repo_id").isNotNull())
@@ -47,21 +52,25 @@ def build_actors(events: DataFrame) -> DataFrame:
     actors = (
         events.where(F.col("actor_id").isNotNull())
         .groupBy("actor_id")
-        .agg(_latest("actor_login", F.struct(*NEWEST)))
+        .agg(_latest("actor_login", _newest(events)))
         .withColumnRenamed("actor_login", "login")
     )
     return _typed(actors, ACTORS)
 
 
 def upsert_dim(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """M1, M2: rows of both by key; a new value replaces the old one unless it is NULL.
+    """M1, M2: rows of both by key; the value of the row with the newer event wins unless it is NULL.
 
+    Rows are ordered by ``last_updated``, then new before old, so a late batch does
+    not undo a newer name. A table without that column takes the new value.
     Both sides hold one row per key, so this is a union and one aggregation, and
     the result is to be published as the table's next version.
     """
     values = [name for name in old.columns if name not in (key, "last_updated")]
-    columns = [_latest(name, F.col("_generation")) for name in values]
-    if "last_updated" in old.columns:
+    timed = "last_updated" in old.columns
+    order = F.struct("last_updated", "_generation") if timed else F.col("_generation")
+    columns = [_latest(name, order) for name in values]
+    if timed:
         columns.append(F.max("last_updated").alias("last_updated"))
     both = old.withColumn("_generation", F.lit(0)).unionByName(new.withColumn("_generation", F.lit(1)))
     return both.groupBy(key).agg(*columns).select(old.columns)

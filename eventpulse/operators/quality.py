@@ -19,12 +19,12 @@ def pk_violations(df: DataFrame, key: str) -> DataFrame:
 
 
 def key_summary(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """C1 over many tables (name to rows and key): how many keys are repeated or NULL in each."""
+    """C1 over many tables (name to rows and key): repeated keys and rows with a NULL key in each."""
     found = [
         pk_violations(df, key).agg(
             F.lit(name).alias("table_name"),
             F.count_if(F.col(key).isNotNull()).alias("repeated_keys"),
-            F.count_if(F.col(key).isNull()).alias("null_keys"),
+            F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("row_count"))), F.lit(0)).alias("null_keys"),
         )
         for name, (df, key) in tables.items()
     ]

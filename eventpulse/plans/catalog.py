@@ -17,7 +17,7 @@ from eventpulse.schemas import FACT_COLUMNS, PRIMARY_KEYS
 from eventpulse.session import pin_utc, work_dir
 from eventpulse.sources.landed import explode_responses
 from eventpulse.sources.log import read_log_files
-from eventpulse.sources.scans import scan_range, spread
+from eventpulse.sources.scans import scan_range
 from eventpulse.streaming.ingest import start_ingest
 from eventpulse.streaming.live import current_minutes, minute_table, start_live_minutes
 
@@ -32,12 +32,12 @@ def _fact(spark: SparkSession, sf_dir: str, repo: bool = True) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(fixtures.source(pin_utc(spark), sf_dir))
+    events = fixtures.source(pin_utc(spark), sf_dir)
     return fixtures.raw_messages(fixtures.redelivered(fixtures.fact(events)))
 
 
 def _loose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.loose_messages(fixtures.fact(spread(fixtures.source(pin_utc(spark), sf_dir))))
+    return fixtures.loose_messages(fixtures.fact(fixtures.source(pin_utc(spark), sf_dir)))
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def _key_check(table: str, key: str, rows: str) -> str:
     return f"""SELECT '{table}' AS table_name,
       (SELECT count(*) FROM (SELECT {key} FROM {rows} WHERE {key} IS NOT NULL
         GROUP BY {key} HAVING count(*) > 1)) AS repeated_keys,
-      (SELECT CAST(count(*) > 0 AS BIGINT) FROM {rows} WHERE {key} IS NULL) AS null_keys"""
+      (SELECT count(*) FROM {rows} WHERE {key} IS NULL) AS null_keys"""
 
 
 def _top(key: str) -> str:

@@ -8,15 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for costly row-wise work on a source with fewer splits than cores.
-
-    A large source has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scan_range(
     fact: DataFrame,
     start: datetime | None = None,

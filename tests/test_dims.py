@@ -49,9 +49,12 @@ def test_side_table(spark):
 def test_upsert(spark):
     old = spark.createDataFrame([(1, "a", "u1", "go", 3, at(2)), (2, "b", None, None, None, at(0))], REPOS)
     new = spark.createDataFrame([(1, "a2", None, None, None, at(1)), (3, None, None, None, None, at(3))], REPOS)
-    expected = [(1, "a2", "u1", "go", 3, at(2)), (2, "b", None, None, None, at(0)), (3, None, None, None, None, at(3))]
+    # the new batch is late for 1: its name is the older one
+    expected = [(1, "a", "u1", "go", 3, at(2)), (2, "b", None, None, None, at(0)), (3, None, None, None, None, at(3))]
     assert rows(dims.upsert_dim(old, new, "repo_id")) == expected
     assert rows(dims.upsert_dim(dims.upsert_dim(old, new, "repo_id"), new, "repo_id")) == expected
+    later = spark.createDataFrame([(1, "a3", None, None, None, at(4))], REPOS)
+    assert rows(dims.upsert_dim(old, later, "repo_id"))[0] == (1, "a3", "u1", "go", 3, at(4))
 
 
 def test_normalised_events(spark):

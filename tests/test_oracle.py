@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from eventpulse.plans.catalog import QUERIES
+from eventpulse.plans.oracles import ORACLES
 
 
 def canonical(rows, columns):
@@ -27,7 +29,7 @@ def sf_dir_module():
     return SF_DIR
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(name, spark, duck, sf_dir_module):
     result = queries()[name](spark, sf_dir_module)
     expected = duck.execute(oracle_sql()[name])
@@ -37,7 +39,8 @@ def test_query_equals_sql(name, spark, duck, sf_dir_module):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= queries().items() and ORACLES.items() <= oracle_sql().items()
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the driver's tables")

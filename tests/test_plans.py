@@ -117,8 +117,8 @@ def test_star_join_survives_without_broadcast(spark, lake):
 
 
 def test_no_python_in_any_plan(spark):
-    from __spark_entry__ import queries
+    from eventpulse.plans.catalog import QUERIES
 
-    for name, query in queries().items():
+    for name, query in QUERIES.items():
         if not name.startswith(("stream_", "incremental", "rollup_refresh")):
             assert "Python" not in plan(query(spark, "/root/testdata/sf0.001")), name

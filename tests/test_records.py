@@ -146,3 +146,9 @@ def test_canonical_keeps_long_payloads_whole(spark):
     payload = {"commits": [{"sha": str(i), "message": "m" * 50} for i in range(3000)]}
     row = to_log(canonicalise(messages(spark, event(payload=payload)))).first()
     assert json.loads(bytes(row.value))["payload"] == payload
+
+
+def test_event_time_needs_date_and_time(spark):
+    texts = [("12:30:00",), ("2024-01-01",), ("2024-01-01T00:00:30Z",), ("2024-01-01 00:00:30",), (None,)]
+    found = spark.createDataFrame(texts, "t string").select(event_time("t").isNotNull().alias("ok")).collect()
+    assert [r.ok for r in found] == [False, False, True, True, False]
