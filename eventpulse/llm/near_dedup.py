@@ -139,16 +139,21 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that are linked."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    own = stored(only(classes.select("cls", "sketch"), ends, "cls"), "ends")
+    ends = stored(_ends(pairs), "ends")
+    own = stored(only(classes.select("cls", "sketch"), ends, "cls"), "own")
     left = own.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"))
     right = own.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"))
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
     near = stored(near.mapInArrow(_estimated, "a long, b long"), "near")
-    ids = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "rep"), "cls")
-    sets = only(texts, ids.select(F.col("rep").alias("doc_id"))).mapInArrow(_sets, "cls long, items array<long>")
+    reps = classes.select("cls", F.col("rep").alias("doc_id"))
+    ids = stored(_ends(near).join(reps, "cls").select("doc_id"), "ids")
+    sets = only(texts, ids).mapInArrow(_sets, "cls long, items array<long>")
     sets = stored(sets.dropDuplicates(["cls"]), "sets")
     left = sets.select(F.col("cls").alias("a"), F.col("items").alias("ia"))
     right = sets.select(F.col("cls").alias("b"), F.col("items").alias("ib"))
