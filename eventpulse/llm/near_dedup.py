@@ -3,12 +3,13 @@
 One hash function ranks the five-word shingles of a text; the sketch is the K
 smallest. Texts with the same shingle set form a class, and classes are compared:
 
-1. Two sets with Jaccard similarity of 0.75 share MIN_SHARED of K sketch values,
-   but for a chance below 10**-8 (a set of at most K shingles is its own sketch
-   and the bound is exact). So it is enough to list each sketch under its rarest
-   ``size - MIN_SHARED + 1`` values: passages that many texts hold come last. At
-   the first value that a pair shares, its places in both orders bound the
-   overlap, which drops most pairs that share a frequent passage only.
+1. Two sets with Jaccard similarity of 0.75 share a least number of sketch values
+   (``needed``), but for a chance below 10**-10; of sets of at most K shingles, which
+   are their own sketches, the bound is exact. So it is enough to list each sketch
+   under its rarest ``size - needed + 1`` values: passages that many texts hold come
+   last. At the first value that a pair shares, its places in both orders bound the
+   overlap, which drops most pairs that share a frequent passage only. A sketch is a
+   sample without replacement, so bounds are tighter the more of a set it holds.
 2. Every list links its members to the most typical one, which has the value at
    the earliest place. Pairs are estimated on the union sketch, then verified on
    full sets. That joins groups of copies by about one pair a member.
@@ -24,6 +25,7 @@ of classes would share a name by chance.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -36,12 +38,30 @@ from eventpulse.llm.tables import components, discard, only, small_batches, stor
 from eventpulse.llm.words import SPACED, slices, windows, words_of
 
 K = 192
-MIN_SHARED = 102
 SHINGLE = 5
 #: Size of the table of value frequencies that orders the lists (16 MB): fixed, whatever the corpus.
 BUCKETS = 1 << 21
-#: Estimates are off by a standard deviation of 0.032 at most; six of them are let through.
-ESTIMATE = 0.75 - 6 * (0.75 * 0.25 / K) ** 0.5
+#: Standard deviations that an overlap of sketches and an estimated similarity may be off.
+SHARED_OFF, ESTIMATE_OFF = 7, 6
+
+
+def estimate_bound(na: int, nb: int) -> float:
+    """The least estimate of linked sets: their union has at most 4/7 of both sizes, of which K are drawn."""
+    union = 4 * (na + nb) / 7
+    return 0.75 - ESTIMATE_OFF * (0.75 * 0.25 / K * (union - K) / (union - 1)) ** 0.5 if union > K else 0.75
+
+
+def needed(n: int) -> int:
+    """The least number of sketch values that a set of ``n`` shares with any linked set.
+
+    The largest linked set, 4/3 of ``n``, shares the fewest: K values drawn from it
+    hold 3/4 of K of the smaller set. Among whole sketches 3/4 of ``n`` are shared.
+    """
+    whole, high = -(-3 * n // 4), 4 * n / 3
+    if high <= K:
+        return whole
+    cut = math.floor(0.75 * K - SHARED_OFF * (0.75 * 0.25 * K * (high - K) / (high - 1)) ** 0.5)
+    return min(whole, cut)
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -97,8 +117,7 @@ def _lists(classes: DataFrame) -> DataFrame:
             values, ids, sizes, places = [], [], [], []
             for cls, n, sketch in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 own = sketch.values.to_numpy()
-                need = min(MIN_SHARED, -(-3 * n // 4)) if n <= K else MIN_SHARED
-                order = np.lexsort((own, weight[own & (BUCKETS - 1)]))[: len(own) - need + 1]
+                order = np.lexsort((own, weight[own & (BUCKETS - 1)]))[: len(own) - needed(n) + 1]
                 values.append(own[order])
                 ids.append(np.full(len(order), cls, np.int64))
                 sizes.append(np.full(len(order), n, np.int64))
@@ -116,12 +135,13 @@ def _possible(a: str, b: str):
     Sizes must be within 3:4, and linked sets share 3/7 of the sum of their sizes. Of
     the values from this one on, all may be shared. Whole sets need that number; of
     sketches cut at K the larger set's density gives the expected number, and seven
-    standard deviations less are needed.
+    standard deviations less are needed, those of K draws without replacement.
     """
     na, nb, low, high = F.col(f"{a}.n"), F.col(f"{b}.n"), F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
     rest = F.least(F.least(na, F.lit(K)) - F.col(f"{a}.place"), F.least(nb, F.lit(K)) - F.col(f"{b}.place"))
     mean = 3 * K * (1 + low / high) / 7
-    cut = rest >= F.floor(mean - 7 * F.sqrt(mean * (1 - mean / K)))
+    spread = F.sqrt(mean * (1 - mean / K) * (high - K) / F.greatest(high - 1, F.lit(1)))
+    cut = rest >= F.floor(mean - SHARED_OFF * spread)
     return (4 * low >= 3 * high) & F.when(high <= K, 7 * rest >= 3 * (na + nb)).otherwise(cut)
 
 
@@ -129,13 +149,14 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep the pairs whose estimated similarity may reach the bound."""
     for batch in batches:
         keep = []
-        for a, b in zip(batch.column(2), batch.column(3), strict=True):
+        sizes = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
+        for a, b, (na, nb) in zip(batch.column(2), batch.column(3), sizes, strict=True):
             a, b = a.values.to_numpy().view(np.uint64), b.values.to_numpy().view(np.uint64)
             both = np.concatenate((a, b))
             both.sort()
             same = both[1:][both[1:] == both[:-1]]
             union = np.unique(both)[:K]
-            keep.append(bool(len(union)) and np.searchsorted(same, union[-1], side="right") >= ESTIMATE * len(union))
+            keep.append(bool(len(union)) and np.searchsorted(same, union[-1], side="right") >= estimate_bound(na, nb) * len(union))
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -146,10 +167,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that are linked."""
     ends = stored(_ends(pairs), "ends")
-    own = stored(only(classes.select("cls", "sketch"), ends, "cls"), "own")
-    left = own.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"))
-    right = own.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"))
-    near = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+    own = stored(only(classes.select("cls", "sketch", "n"), ends, "cls"), "own")
+    left = own.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
+    right = own.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
+    near = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "na", "nb")
     near = stored(near.mapInArrow(_estimated, "a long, b long"), "near")
     reps = classes.select("cls", F.col("rep").alias("doc_id"))
     ids = stored(_ends(near).join(reps, "cls").select("doc_id"), "ids")

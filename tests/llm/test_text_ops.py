@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,20 @@ def test_group_of_near_copies_and_common_passage(spark):
     assert got == plain.near(rows)
 
 
+@pytest.mark.parametrize("n", [5, 144, 145, 192, 193, 300, 396, 1000])
+def test_linked_sets_share_enough_of_their_sketches(n):
+    rng = np.random.default_rng(n)
+    for high in (n, n + n // 8, 4 * n // 3):
+        both = -(-3 * (n + high) // 7)
+        universe = rng.permuted(np.tile(np.repeat([0, 1, 2], [both, n - both, high - both]), (2000, 1)), axis=1)
+        inside = (np.cumsum(universe != 2, axis=1) <= near_dedup.K) & (np.cumsum(universe != 1, axis=1) <= near_dedup.K)
+        shared = ((universe == 0) & inside).sum(axis=1)
+        assert shared.min() >= max(near_dedup.needed(n), near_dedup.needed(high))
+        drawn = min(near_dedup.K, universe.shape[1])
+        estimate = (universe[:, :drawn] == 0).mean(axis=1)
+        assert estimate.min() >= near_dedup.estimate_bound(n, high)
+
+
 def test_passages(spark, texts):
     rows = [*texts, (1, texts[0][1]), (9, " ".join(words(4, 80))), (None, texts[0][1]), (None, None)]
     got = substring_dedup.repeated_passages(frame(spark, rows)).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
