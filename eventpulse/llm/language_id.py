@@ -139,6 +139,20 @@ def learn(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Filter:
     return build(languages, kept["gram"].to_numpy().astype(np.uint32), language)
 
 
+def _judged(own: Filter, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and share of grams that the language holds, for each text."""
+    if not own.languages:
+        return ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    hits, n = counts(own, texts)
+    best = hits.argmax(axis=1)
+    first = hits[np.arange(len(texts)), best]
+    second = np.partition(hits, -2, axis=1)[:, -2] if hits.shape[1] > 1 else np.zeros(len(texts))
+    letters = np.asarray([has_letter(text) for text in texts], bool)
+    lang = [own.languages[k] if some else "und" for k, some in zip(best, letters, strict=True)]
+    score = np.where(letters & (first > 0), first / np.maximum(first + second, 1e-12), 0.0)
+    return lang, score, np.where(letters, np.minimum(1.0, first / np.maximum(n, 1)), 0.0)
+
+
 def identify(docs: DataFrame, model: Filter) -> DataFrame:
     """doc_id, lang_pred, score, known (share of grams that the winner holds) for each row of ``docs``."""
     small_batches(docs.sparkSession)
@@ -147,17 +161,7 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in slices(batches):
-            texts = batch.column(1).to_pylist()
-            lang, score, known = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-            if own.languages:
-                hits, n = counts(own, texts)
-                best = hits.argmax(axis=1)
-                first = hits[np.arange(len(texts)), best]
-                second = np.partition(hits, -2, axis=1)[:, -2] if hits.shape[1] > 1 else np.zeros(len(texts))
-                letters = np.asarray([has_letter(text) for text in texts], bool)
-                lang = [own.languages[k] if some else "und" for k, some in zip(best, letters, strict=True)]
-                score = np.where(letters & (first > 0), first / np.maximum(first + second, 1e-12), 0.0)
-                known = np.where(letters, np.minimum(1.0, first / np.maximum(n, 1)), 0.0)
+            lang, score, known = _judged(own, batch.column(1).to_pylist())
             columns = [batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(known)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "known"])
 
@@ -173,9 +177,17 @@ def training(docs: DataFrame) -> DataFrame:
 def spoken(docs: DataFrame, known: float = KNOWN) -> DataFrame:
     """The rows of ``docs`` written in a learned language, all columns as they were.
 
-    A doc_id goes if any of its rows is ``und`` or has fewer known grams than the
-    share ``known``; rows with a null doc_id stay.
+    Each row is judged by its own text, in place, so no text is shuffled. It goes if
+    it is ``und`` or has fewer known grams than the share ``known``.
     """
-    found = identify(docs, learn(training(docs)))
-    gone = found.where((F.col("lang_pred") == "und") | (F.col("known") < known)).where("doc_id is not null")
-    return docs.join(gone.select(F.col("doc_id").alias("_gone")).distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(learn(training(docs)))
+    width = len(docs.columns)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in slices(batches, "_judged_text"):
+            lang, _, share = _judged(own, batch.column(width).to_pylist())
+            stay = (np.asarray(lang, object) != "und") & (share >= known)
+            yield batch.select(range(width)).filter(pa.array(stay, pa.bool_()))
+
+    return docs.withColumn("_judged_text", F.col("text").cast("string")).mapInArrow(keep, docs.schema)

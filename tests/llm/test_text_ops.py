@@ -202,6 +202,11 @@ def test_language(spark):
     assert all(got[i].lang_pred == lang and got[i].score > 0.5 for i, _, lang in rows)
     assert [got[i].lang_pred for i in (1000, 1001, 1002)] == ["und"] * 3 and got[1003].lang_pred == "bb" and got[1004].lang_pred in sample
     assert got[None].lang_pred == "bb" and all(0 <= r.score <= 1 for r in got.values())
+    mixed = docs.unionByName(spark.createDataFrame(odd, docs.schema)).withColumn("_text", F.lit(1))
+    spoken = language_id.spoken(mixed)
+    assert spoken.columns == mixed.columns and "Exchange" not in spoken._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.doc_id or -1 for r in spoken.collect()) == sorted([-1, -1, *range(1, 300), 1003])
+    assert language_id.spoken(mixed.limit(0)).count() == 0
     none = language_id.learn(docs.limit(0))
     assert {r.lang_pred for r in language_id.identify(docs, none).collect()} == {"und"}
 
