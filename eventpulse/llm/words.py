@@ -18,7 +18,8 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 SEGMENT = 1 << 18
-BATCH_BYTES = 1 << 22
+#: Text that a task works on at a time; arrays over its words and grams take up to 80 times that.
+BATCH_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
