@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventpulse.llm.tables import components, discard, only, small_batches, stored
+from eventpulse.llm.tables import components, discard, only, parted, small_batches, stored
 from eventpulse.llm.words import SPACED, slices, windows, words_of
 
 K = 192
@@ -245,12 +245,17 @@ def _links(classes: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, one row for a repeated doc_id, all columns as they were."""
-    labels = stored(near_duplicates(docs), "components")
+    """The rows of ``docs`` whose document is kept, one row for a repeated doc_id, all columns as they were.
+
+    Only rows that may be dropped or repeated are joined; the texts of all others are not shuffled.
+    """
+    labels = stored(near_duplicates(docs).where("doc_id is not null"), "components")
     counts = labels.groupBy("doc_id").agg(F.first("kept").alias("kept"), F.count("*").alias("rows"))
-    gone = counts.where("not kept or (rows > 1 and doc_id is not null)").select(F.col("doc_id").alias("_gone"))
-    again = counts.where("kept and rows > 1 and doc_id is not null").select(F.col("doc_id").alias("_again"))
-    single = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    repeated = docs.join(again, F.col("doc_id") == F.col("_again"), "left_semi").withColumn("_row", F.row_number().over(order))
-    return single.unionByName(repeated.where("_row = 1").drop("_row"))
+    marked = stored(counts.where("not kept or rows > 1").select("doc_id", "kept"), "marked")
+    maybe, sure = parted(docs, marked.select("doc_id"))
+    mark = marked.select(F.col("doc_id").alias("marked"), F.col("kept").alias("stays"))
+    rows = maybe.select(F.struct(*maybe.columns).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    rows = rows.join(mark, F.col("id") == F.col("marked"), "left").where(F.coalesce("stays", F.lit(True)))
+    order = Window.partitionBy("id").orderBy("row.text")
+    first = rows.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return sure.unionByName(first.select("row.*"))

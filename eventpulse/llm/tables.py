@@ -44,32 +44,57 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SIEVE_BITS = 1 << 27
 
 
+def _sieve(ids: DataFrame, key: str):
+    """Broadcast bitmap of hashed ids: a bit that is not set proves that the id is absent."""
+    bucket, bit = _spot(F.col(key))
+    bits = ids.select(bucket.alias("bucket"), bit.alias("bit"))
+    maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
+    sieve = np.zeros(SIEVE_BITS // 8 + 4096, np.uint8)
+    for number, block in zip(maps["bucket"].to_pylist(), maps["bits"].to_pylist(), strict=True):
+        sieve[(number - 1) * 4096 : number * 4096] = np.frombuffer(block, np.uint8)
+    return ids.sparkSession.sparkContext.broadcast(sieve)
+
+
+def _spot(key):
+    place = F.shiftrightunsigned(F.xxhash64(key.cast("long")), 64 - (SIEVE_BITS - 1).bit_length())
+    return F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+
+
+def _sieved(rows: DataFrame, shared, key: str, inside: bool) -> DataFrame:
+    """The rows whose bit is set, or is not set; a null key has no bit."""
+    width, name = len(rows.columns), "_spot"
+    while name in rows.columns:
+        name += "_"
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            at = batch.column(width).fill_null(-1).to_numpy()
+            found = (at >= 0) & ((own[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1)
+            yield batch.select(range(width)).filter(pa.array(found == inside))
+
+    bucket, bit = _spot(F.col(key))
+    spot = F.when(F.col(key).isNotNull(), (bucket - 1) * 32768 + bit)
+    return rows.select("*", spot.alias(name)).mapInArrow(choose, rows.schema)
+
+
 def only(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows whose ``key``, a long, is in ``ids`` (one column of that name).
 
     A bitmap of hashed ids drops most other rows before the shuffle. Its size is
     bounded: with more ids it lets more rows through, and the join decides.
     """
-    spark = rows.sparkSession
-    shift = 64 - (SIEVE_BITS - 1).bit_length()
-    place = F.shiftrightunsigned(F.xxhash64(key), shift)
-    bits = ids.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
-    maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
-    sieve = np.zeros(SIEVE_BITS // 8 + 4096, np.uint8)
-    for bucket, block in zip(maps["bucket"].to_pylist(), maps["bits"].to_pylist(), strict=True):
-        sieve[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(block, np.uint8)
-    shared = spark.sparkContext.broadcast(sieve)
-    width = len(rows.columns)
+    near = _sieved(rows.where(F.col(key).isNotNull()), _sieve(ids, key), key, True)
+    return near.join(ids.distinct(), key, "left_semi")
 
-    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            at = batch.column(width).to_numpy()
-            yield batch.select(range(width)).filter(pa.array((own[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1))
 
-    spot = (F.bitmap_bucket_number(place) - 1) * 32768 + F.bitmap_bit_position(place)
-    near = rows.where(F.col(key).isNotNull()).withColumn("_spot", spot).mapInArrow(drop, rows.schema)
-    return near.join(ids.distinct(), key, "left_semi")
+def parted(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those that may hold an id of ``ids``, and those that surely hold none.
+
+    The bitmap is that of only(); the second part needs no join, hence no shuffle.
+    """
+    shared = _sieve(ids, key)
+    return _sieved(rows, shared, key, True), _sieved(rows, shared, key, False)
 
 
 def remainder(column: str, modulus: int):
