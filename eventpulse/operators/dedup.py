@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from datetime import date
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LOG_ORDER = ("kafka_partition", "kafka_offset")
 
-# Above this many distinct dates a batch prunes by its first and last date.
-MAX_LISTED_DATES = 366
-
-# Up to this many rows the keys of a batch are broadcast, some tens of megabytes.
-MAX_BROADCAST_ROWS = 1_000_000
-
 
 def dedup_batch(df: DataFrame, key: str = "event_id", order: tuple[str, ...] = LOG_ORDER) -> DataFrame:
     """The first arrival of each id.
@@ -36,55 +27,32 @@ def dedup_stream(df: DataFrame, delay: str, key: str = "event_id", time: str = "
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def rows_per_date(batch: DataFrame, column: str = "event_date") -> dict[date, int] | None:
-    """Row counts of the dates a batch touches, or None where there are too many to list."""
-    counts = batch.groupBy(column).count().limit(MAX_LISTED_DATES + 1).collect()
-    return dict(map(tuple, counts)) if len(counts) <= MAX_LISTED_DATES else None
+def drop_seen(batch: DataFrame, stored: DataFrame, key: str = "event_id", keys: DataFrame | None = None) -> DataFrame:
+    """D3: the rows of the batch whose key is not stored yet.
 
+    The stored keys are first reduced to those in ``keys`` (by default the batch's
+    own), so what is joined to the batch is never larger than that. No broadcast is
+    forced: Spark decides by measured size.
+    """
+    arrived = (batch if keys is None else keys).select(key).distinct()
+    known = stored.select(key).join(arrived, key, "left_semi")
+    return batch.join(known, key, "left_anti")
 
-def prune_to_dates(stored: DataFrame, batch: DataFrame, dates: Iterable[date] | None) -> DataFrame:
-    """Only the date partitions of ``stored`` that ``batch`` touches.
 
-    The dates become literals, so they prune the file listing. Where they are not
-    listed, the range from the batch's first to its last date prunes instead.
-    """
-    column = F.col("event_date")
-    if dates is not None:
-        return stored.where(column.isin(list(dates)))
-    first, last = batch.agg(F.min(column), F.max(column)).first()
-    return stored.where(column.between(first, last))
-
-
-def drop_seen(
-    batch: DataFrame,
-    stored: DataFrame,
-    on: Sequence[str],
-    keys: DataFrame | None = None,
-    small: bool = False,
-) -> DataFrame:
-    """D3: the rows of the batch whose key is not stored yet.
+def within_keys(stored: DataFrame, batch: DataFrame, key: str = "event_id") -> DataFrame:
+    """The stored rows between the batch's smallest and largest key.
 
-    The stored keys are first reduced to those in ``keys`` (by default the
-    batch's own), so what is joined to the batch is never larger than that.
-    ``small`` states that the keys are known to fit a broadcast; stored keys are
-    then not shuffled at all.
+    The two bounds become literals that skip row groups of files sorted by the key;
+    no key of the batch lies outside, so the answer does not depend on them.
     """
-    on = list(on)
-    arrived = (batch if keys is None else keys).select(on).distinct()
-    known = stored.select(on).join(F.broadcast(arrived) if small else arrived, on, "left_semi")
-    return batch.join(F.broadcast(known.distinct()) if small else known, on, "left_anti")
+    first, last = batch.agg(F.min(key), F.max(key)).first()
+    return stored.where(F.lit(False) if first is None else F.col(key).between(first, last))
 
 
-def first_unseen(batch: DataFrame, stored: DataFrame, same_date: bool = True) -> DataFrame:
-    """The first arrival of each id that a table by ``event_date`` does not hold.
+def first_unseen(batch: DataFrame, stored: DataFrame, key: str = "event_id") -> DataFrame:
+    """The first arrival of each id that ``stored`` does not hold, whatever its date.
 
-    ``batch`` should be persisted, since its dates and keys are read next to its
-    rows. Copies go first, so the join meets each id once. An id is taken to come
-    with the same date each time, which bounds the stored partitions to read;
-    without ``same_date`` the ids of all partitions are compared.
+    ``batch`` should be persisted, since its keys are read next to its rows. Both
+    steps work on the id, so one exchange of the batch's rows serves them.
     """
-    counts = rows_per_date(batch)
-    small = counts is not None and sum(counts.values()) <= MAX_BROADCAST_ROWS
-    on = ("event_date", "event_id") if same_date else ("event_id",)
-    stored = prune_to_dates(stored, batch, counts) if same_date else stored
-    return drop_seen(dedup_batch(batch), stored, on, batch, small)
+    return drop_seen(dedup_batch(batch, key), within_keys(stored, batch, key), key, batch)

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from eventpulse import schemas
 from eventpulse.operators.rollups import add_up, rollup_totals
+from eventpulse.sinks.files import first_text
 from eventpulse.sinks.tables import BatchTable, VersionedTable
 
 ENRICHED = [T.StructField("repo_owner", T.StringType()), T.StructField("repo_short_name", T.StringType())]
@@ -18,6 +19,9 @@ LOOKUPS = {
     for setting in ("adaptive.enabled", "enabled#event_id", "enabled#actor_login")
 }
 
+# Small row groups of sorted ids, so that a batch skips those outside its own range.
+KEY_GROUPS = {"parquet.block.size": str(8 * 2**20)}
+
 
 ROLLUPS = {
     "minute": schemas.MINUTE,
@@ -32,7 +36,7 @@ def _fields(schema: T.StructType, *extra: T.StructField) -> T.StructType:
 
 
 class Lake:
-    """Quarantine and fact (silver), rollups by batch and by version, dimensions (gold)."""
+    """Quarantine, fact and its ids (silver), rollups by batch and by version, dimensions (gold)."""
 
     def __init__(self, spark: SparkSession, root: str, enrich: bool = False):
         self.spark, self.root, self.enrich = spark, root, enrich
@@ -45,6 +49,9 @@ class Lake:
             sort_by=["repo_id", "event_created_at"],
             compact_options=LOOKUPS,
         )
+        self.keys = BatchTable(
+            spark, f"{root}/keys", schemas.KEYS, sort_by=["event_id"], compact_options=KEY_GROUPS
+        )
         self.quarantine = BatchTable(spark, f"{root}/quarantine", schemas.QUARANTINE)
         self.metrics = BatchTable(spark, f"{root}/metrics", schemas.INGEST_METRICS)
         self.partials = BatchTable(
@@ -61,8 +68,28 @@ class Lake:
         """The incremental form of a rollup, all batches added up."""
         return rollup_totals(self.partials.read(upto), name)
 
+    def bind(self, checkpoint: str) -> None:
+        """K5, K6: refuse a checkpoint whose batch ids are not those of this lake.
+
+        The stream's id in the checkpoint is kept with the lake. A new checkpoint has
+        none and would begin at batch 0 again, over batches that are there.
+        """
+        stream = first_text(self.spark, f"{checkpoint}/metadata")
+        owner = first_text(self.spark, f"{self.root}/stream")
+        if owner is not None and owner != stream:
+            raise ValueError(f"{self.root} belongs to another checkpoint than {checkpoint}")
+        if stream is None and (self.fact.batches() or self.fact.compactions()):
+            raise ValueError(f"{self.root} holds batches that {checkpoint} does not know")
+
+    def own(self, checkpoint: str) -> None:
+        """Keep the id of the stream that has just started on the checkpoint."""
+        if first_text(self.spark, f"{self.root}/stream") is None:
+            stream = first_text(self.spark, f"{checkpoint}/metadata")
+            row = self.spark.createDataFrame([(stream,)], "value string").coalesce(1)
+            row.write.mode("overwrite").text(f"{self.root}/stream")
+
     def _batch_tables(self) -> tuple[BatchTable, ...]:
-        return self.fact, self.quarantine, self.partials, self.metrics
+        return self.fact, self.keys, self.quarantine, self.partials, self.metrics
 
     def compact(self) -> None:
         """Merge small batches, so that a read lists few directories."""

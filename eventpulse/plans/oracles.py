@@ -21,7 +21,7 @@ STATUS = """CASE WHEN n % 97 = 0 THEN 'malformed' WHEN n % 89 = 0 THEN 'missing_
 RED = f"""{G}, red AS (
   SELECT *, {STATUS} FROM g
   UNION ALL
-  SELECT * REPLACE (kafka_offset + 1000000 AS kafka_offset), {STATUS} FROM g WHERE n % 10 = 0
+  SELECT * REPLACE (1 AS kafka_partition), {STATUS} FROM g WHERE n % 10 = 0
 )"""
 
 METRICS = f"""{RED}, m AS (
@@ -74,8 +74,8 @@ ORACLES = {
     "quarantine_rows": f"""{RED} SELECT status, kafka_offset, kafka_timestamp,
       CASE WHEN status <> 'malformed' THEN event_id END AS event_id FROM red WHERE status <> 'ok'""",
     "landed_responses": f"""{RED}, pages AS (
-      SELECT *, bool_or(status = 'malformed') OVER (PARTITION BY kafka_offset // 100) AS broken FROM red)
-      SELECT 'malformed' AS status, count(DISTINCT kafka_offset // 100) AS record_count FROM pages
+      SELECT *, bool_or(status = 'malformed') OVER (PARTITION BY kafka_partition, kafka_offset // 100) AS broken FROM red)
+      SELECT 'malformed' AS status, count(DISTINCT (kafka_partition, kafka_offset // 100)) AS record_count FROM pages
       WHERE broken GROUP BY 1
       UNION ALL
       SELECT status, count(*) AS record_count FROM pages WHERE NOT broken GROUP BY status""",

@@ -20,6 +20,15 @@ def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(name[len(start):]) for name in names if name.startswith(start))
 
 
+def first_text(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file or of a finished folder with one; None where there is none."""
+    place, fs = _path(spark, path)
+    if not fs.exists(place) or fs.getFileStatus(place).isDirectory() and not committed(spark, path):
+        return None
+    row = spark.read.text(path).first()
+    return row and row[0]
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """True once the job that wrote the directory has finished."""
     marker, fs = _path(spark, f"{path}/_SUCCESS")

@@ -17,7 +17,7 @@ def stored_keys_query(table: str, key: str, time: str, first: object, last: obje
 
 def append_new(batch: DataFrame, stored: DataFrame, key: str = "event_id") -> DataFrame:
     """K6, D3: the rows an append may add without breaking the table's primary key."""
-    return drop_seen(dedup_batch(batch, key), stored, (key,))
+    return drop_seen(dedup_batch(batch, key), stored, key)
 
 
 def jdbc_writer(

@@ -62,7 +62,13 @@ class BatchTable:
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(path)
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        """K6: replace what the batch wrote before, if anything."""
+        """K6: replace what the batch wrote before, if anything.
+
+        A batch that a compaction holds already would be written and never read.
+        """
+        done = self.compactions()
+        if done and batch_id <= done[-1]:
+            raise ValueError(f"batch {batch_id} is part of the compaction up to {done[-1]}")
         self._write(df, f"{self._batches}/batch_id={batch_id}")
 
     def batches(self) -> list[int]:

@@ -28,16 +28,14 @@ def ingest_rows(log: DataFrame) -> DataFrame:
     return at_rest(rows).withColumn("event_date", event_date())
 
 
-def fact_writer(
-    lake: Lake, compact_every: int | None = None, same_date: bool = True
-) -> Callable[[DataFrame, int], None]:
+def fact_writer(lake: Lake, compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
     """K3: writes one micro-batch of ingest_rows() to every table of the lake.
 
     Everything is addressed by the batch id and compared only with earlier
     batches, so a repeated batch ends in the same state. Offsets are committed
     after it returns (D4). No row is dropped for being late (W5).
-    ``compact_every`` batches, the ones before are merged; ``same_date`` is that
-    of first_unseen().
+    ``compact_every`` batches, the ones before are merged. An id is stored once,
+    whatever date it comes with: its keys are compared, not its date partition.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -47,10 +45,11 @@ def fact_writer(
             lake.quarantine.write(rejected, batch_id)
 
             good = rows.where(F.col("status") == "ok").drop("status", "json")
-            fresh = first_unseen(good, lake.fact.read(upto=batch_id - 1), same_date)
+            fresh = first_unseen(good, lake.keys.read(upto=batch_id - 1))
             lake.fact.write(enrich_repo(fresh) if lake.enrich else fresh, batch_id)
 
             written = lake.fact.read_batch(batch_id)
+            lake.keys.write(written, batch_id)
             lake.partials.write(partial_counts(written), batch_id)
             lake.metrics.write(_batch_metrics(rows, written), batch_id)
             if compact_every and batch_id % compact_every == compact_every - 1:
@@ -94,14 +93,17 @@ def start_ingest(
     checkpoint: str,
     trigger: dict[str, object] = ALL_AVAILABLE,
     compact_every: int | None = 100,
-    same_date: bool = True,
 ) -> StreamingQuery:
     """``trigger`` holds the arguments of Spark's trigger(), e.g. ``{"processingTime": "1 minute"}``.
 
-    The batch ids of the checkpoint address the lake's tables, so the two belong together.
+    The batch ids of the checkpoint address the lake's tables, so the two belong together:
+    another checkpoint on the same lake is refused.
     """
     pin_utc(log.sparkSession)
-    return _start(ingest_rows(log), fact_writer(lake, compact_every, same_date), checkpoint, trigger)
+    lake.bind(checkpoint)
+    query = _start(ingest_rows(log), fact_writer(lake, compact_every), checkpoint, trigger)
+    lake.own(checkpoint)
+    return query
 
 
 def start_jdbc_ingest(

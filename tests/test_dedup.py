@@ -2,7 +2,6 @@
 
 from datetime import date
 
-import pytest
 from pyspark.sql import functions as F
 
 from eventpulse.operators import dedup
@@ -38,40 +37,24 @@ def test_hot_ids_shrink_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in plan[shuffle:]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_drop_seen(spark, small):
-    on = ("event_date", "event_id")
+def test_drop_seen(spark):
     batch = rows(spark, ("a", 0, 1, D1), ("b", 0, 2, D1), ("c", 0, 3, D2), ("c", 0, 4, D2))
     stored = rows(spark, ("a", 0, 0, D1), ("z", 0, 0, D1), ("b", 0, 0, D2))
-    assert sorted(r.event_id for r in dedup.drop_seen(batch, stored, on, small=small).collect()) == ["b", "c", "c"]
-    assert dedup.drop_seen(batch, stored.limit(0), on, small=small).count() == 4
-    anywhere = dedup.drop_seen(batch, stored, ("event_id",), small=small)
-    assert sorted(r.event_id for r in anywhere.collect()) == ["c", "c"]
-
-
-@pytest.mark.parametrize("dates, broadcast", [(366, 1_000_000), (366, 0), (1, 1_000_000)])
-def test_first_unseen_beyond_its_bounds(spark, monkeypatch, dates, broadcast):
-    monkeypatch.setattr(dedup, "MAX_LISTED_DATES", dates)
-    monkeypatch.setattr(dedup, "MAX_BROADCAST_ROWS", broadcast)
-    batch = rows(spark, ("1", 0, 1, D1), ("x", 0, 2, date(2024, 1, 3)), ("5", 0, 2, date(2024, 1, 3)),
-                 ("x", 0, 9, date(2024, 1, 3)))
-    stored = rows(spark, *[(str(i), 0, i, date(2024, 1, i)) for i in range(1, 6)])
-    assert sorted(r.event_id for r in dedup.first_unseen(batch, stored).collect()) == ["5", "x"]
-    assert dedup.first_unseen(batch.limit(0), stored).count() == 0
+    assert sorted(r.event_id for r in dedup.drop_seen(batch, stored).collect()) == ["c", "c"]
+    assert dedup.drop_seen(batch, stored.limit(0)).count() == 4
 
 
 def test_first_unseen_over_all_dates(spark):
-    batch, stored = rows(spark, ("a", 0, 1, D1), ("b", 0, 2, D1)), rows(spark, ("a", 0, 0, D2))
-    assert sorted(r.event_id for r in dedup.first_unseen(batch, stored).collect()) == ["a", "b"]
-    assert [r.event_id for r in dedup.first_unseen(batch, stored, same_date=False).collect()] == ["b"]
-
-
-def test_prune_lists_dates_up_to_a_bound(spark, monkeypatch):
-    batch = rows(spark, ("a", 0, 1, D1), ("b", 0, 2, date(2024, 1, 3)), ("c", 0, 3, date(2024, 1, 3)))
-    stored = rows(spark, *[(str(i), 0, i, date(2024, 1, i)) for i in range(1, 6)])
-    counts = dedup.rows_per_date(batch)
-    assert counts == {D1: 1, date(2024, 1, 3): 2}
-    assert sorted(r.event_id for r in dedup.prune_to_dates(stored, batch, counts).collect()) == ["1", "3"]
-    monkeypatch.setattr(dedup, "MAX_LISTED_DATES", 1)
-    assert dedup.rows_per_date(batch) is None
-    assert sorted(r.event_id for r in dedup.prune_to_dates(stored, batch, None).collect()) == ["1", "2", "3"]
+    batch = rows(spark, ("a", 0, 1, D1), ("b", 0, 2, D1), ("b", 1, 0, D2), ("c", 1, 1, D2))
+    stored = rows(spark, ("a", 0, 0, D2), ("0", 0, 1, D1), ("z", 0, 2, D1))
+    found = dedup.first_unseen(batch, stored).collect()
+    assert sorted((r.event_id, r.kafka_partition) for r in found) == [("b", 0), ("c", 1)]
+    assert dedup.first_unseen(batch.limit(0), stored).count() == 0
+    assert dedup.first_unseen(batch, stored.limit(0)).count() == 3
+
+
+def test_stored_keys_outside_the_batch_are_skipped(spark):
+    batch = rows(spark, ("b", 0, 1, D1), ("d", 0, 2, D1))
+    stored = rows(spark, *[(key, 0, 0, D2) for key in "abcde"])
+    assert sorted(r.event_id for r in dedup.within_keys(stored, batch).collect()) == ["b", "c", "d"]
+    assert dedup.within_keys(stored, batch.limit(0)).count() == 0

@@ -36,6 +36,7 @@ def lake(spark):
     facts = facts.withColumn("event_date", F.to_date("event_created_at"))
     for batch_id in range(2):
         lake.fact.write(facts.where(F.col("kafka_offset") % 2 == batch_id), batch_id)
+        lake.keys.write(facts.where(F.col("kafka_offset") % 2 == batch_id), batch_id)
     return lake
 
 
@@ -76,32 +77,29 @@ def test_ingest_metrics_count_before_the_shuffle(spark):
     assert text.count("partial_count") > 0 and "Expand" not in text
 
 
-def test_stored_ids_are_not_shuffled_for_a_small_batch(lake):
+def test_stored_ids_are_read_alone_and_by_range(lake):
     batch = lake.fact.read_batch(1).persist()
-    text = plan(dedup.first_unseen(batch, lake.fact.read(upto=0)))
-    assert re.search(r"PartitionFilters: \[.*event_date#\d+ (IN|INSET)", text)
-    semi = text[text.index("LeftSemi"):].splitlines()
-    stored_side = []
-    for line in semi[1:]:
-        stored_side.append(line)
-        if "FileScan" in line:
-            break
-    assert not any("Exchange" in line for line in stored_side)
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    text = plan(dedup.first_unseen(batch, lake.keys.read(upto=0)))
+    scan = next(line for line in text.splitlines() if "FileScan" in line and "/keys/" in line)
+    assert "GreaterThanOrEqual(event_id" in scan and "LessThanOrEqual(event_id" in scan
+    assert "ReadSchema: struct<event_id:string>" in scan
     batch.unpersist()
 
 
-def test_large_batches_do_without_broadcast(spark, lake, monkeypatch):
-    monkeypatch.setattr(dedup, "MAX_BROADCAST_ROWS", 10)
+def test_rows_of_a_batch_are_exchanged_once(spark, lake):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    batch = lake.fact.read_batch(1).persist()
     try:
-        batch, stored = lake.fact.read_batch(1), lake.fact.read(upto=0)
-        fresh = dedup.first_unseen(batch, stored)
-        assert "BroadcastHashJoin" not in plan(fresh)
+        fresh = dedup.first_unseen(batch, lake.keys.read(upto=0))
+        text = plan(fresh)
+        assert "BroadcastHashJoin" not in text
+        anti = text[text.index("LeftAnti"):]
+        assert anti[: anti.index("InMemoryTableScan")].count("Exchange") == 1
         assert fresh.count() == batch.count()
-        assert dedup.first_unseen(stored, stored).count() == 0
+        assert dedup.first_unseen(batch, lake.keys.read()).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        batch.unpersist()
 
 
 def test_star_join_survives_without_broadcast(spark, lake):

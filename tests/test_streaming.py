@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventpulse.operators.dedup import dedup_stream
+from eventpulse.operators.quality import pk_violations
 from eventpulse.plans import fixtures
 from eventpulse.plans.lake import Lake
 from eventpulse.plans.refresh import refresh_dims, refresh_rollups
@@ -60,7 +61,7 @@ def test_restart_redelivery_and_metrics(spark, small):
     root = work_dir(spark, "restart")
     lake = Lake(spark, f"{root}/lake", enrich=True)
     messages = fixtures.raw_messages(fixtures.redelivered(fixtures.fact(fixtures.source(spark, small))))
-    again = F.col("n") != F.col("kafka_offset")
+    again = F.col("kafka_partition") == 1
     land(messages.where(~again), f"{root}/log")
     query = ingest(spark, root, lake)
     assert [p["fetched"] for p in ingest_progress(query) if p.get("fetched")] == [1000]
@@ -70,7 +71,7 @@ def test_restart_redelivery_and_metrics(spark, small):
     ingest(spark, root, lake)
     fact = lake.fact.read()
     assert ids(fact) == first
-    assert fact.where("kafka_offset >= 1000000").count() == 0
+    assert fact.where("kafka_partition = 1").count() == 0
     assert fact.where("repo_owner is not null").count() > 0
     assert lake.fact.batches() == [0, 1]
 
@@ -105,7 +106,7 @@ def test_late_redelivery_is_found_after_compaction(spark, small):
     assert lake.fact.compactions() == [2]
     late = messages.where("n % 10 = 0").withColumns(
         {
-            "kafka_offset": F.col("kafka_offset") + fixtures.REDELIVERY_OFFSET,
+            "kafka_partition": F.lit(1),
             "kafka_timestamp": F.col("kafka_timestamp") + F.expr("interval 31 days"),
         }
     )
@@ -117,6 +118,41 @@ def test_late_redelivery_is_found_after_compaction(spark, small):
         assert sorted(map(repr, counts.collect())) == sorted(map(repr, lake.totals(name).collect()))
 
 
+def test_an_id_that_returns_on_another_date_is_stored_once(spark, small):
+    lake = Lake(spark, work_dir(spark, "dates"))
+    write = fact_writer(lake)
+    rows = ingest_rows(fixtures.envelopes(valid_messages(spark, small)))
+    moved = rows.withColumns(
+        {
+            "event_created_at": F.col("event_created_at") + F.expr("interval 3 days"),
+            "event_date": F.date_add("event_date", 3),
+            "kafka_partition": F.lit(1),
+        }
+    )
+    write(rows.where("kafka_offset < 600"), 0)
+    write(moved, 1)
+    fact = lake.fact.read()
+    assert pk_violations(fact, "event_id").count() == 0
+    assert fact.count() == rows.count() == lake.keys.read().count()
+    assert fact.where("kafka_partition = 1").agg(F.min("kafka_offset")).first()[0] >= 600
+
+
+def test_another_checkpoint_is_refused(spark, small):
+    root = work_dir(spark, "foreign")
+    lake = Lake(spark, f"{root}/lake")
+    messages = valid_messages(spark, small)
+    land(messages.where("n < 500"), f"{root}/log")
+    ingest(spark, root, lake)
+    stored = ids(lake.fact.read())
+    land(messages.where("n >= 500"), f"{root}/other/log")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        ingest(spark, f"{root}/other", lake)
+    assert ids(lake.fact.read()) == stored
+    land(messages.where("n >= 500"), f"{root}/log")
+    ingest(spark, root, lake)
+    assert len(ids(lake.fact.read())) == messages.count()
+
+
 def test_a_repeated_batch_converges(spark, small):
     lake = Lake(spark, work_dir(spark, "repeat"))
     write = fact_writer(lake)

@@ -72,6 +72,15 @@ def test_compaction_keeps_rows_and_the_newest_batch(spark, table):
     assert content(table.read(upto=2)) == [(f"k{j}", j) for j in range(3)]
 
 
+def test_a_compacted_batch_is_not_written_again(spark, table):
+    for i in range(3):
+        table.write(frame(spark, **{f"k{i}": i}), i)
+    table.compact()
+    with pytest.raises(ValueError, match="compaction up to 1"):
+        table.write(frame(spark, x=9), 1)
+    assert content(table.read()) == [("k0", 0), ("k1", 1), ("k2", 2)]
+
+
 def test_failed_compaction_is_not_read(spark, table):
     for i in range(3):
         table.write(frame(spark, **{f"k{i}": i}), i)
