@@ -22,16 +22,19 @@ def key_present(json: str, key: str) -> Column:
 def record_status(json: str, time: str = "event_created_at") -> Column:
     """Status of a parsed record whose required fields are columns next to its text.
 
-    The first branch settles every good record from columns alone. The keys of
-    the text are looked at only for the rest, to tell an absent key from a null.
+    The first branch settles every good record from columns and the text's last
+    character: a parser stops at the end of an object and does not see what follows
+    it. The keys of the text are looked at only for the rest, to tell an absent key
+    from a null.
     """
+    closed = F.rtrim(F.col(json), F.lit(" \t\r\n")).endswith("}")
     keys = F.json_object_keys(json)
     required = F.array(*[F.lit(name) for name in REQUIRED_FIELDS])
     filled = reduce(and_, [F.col(name).isNotNull() for name in REQUIRED_FIELDS])
     return (
-        F.when(filled & F.col(time).isNotNull(), "ok")
-        .when(filled, "bad_timestamp")
-        .when(keys.isNull(), "malformed")
+        F.when(filled & closed & F.col(time).isNotNull(), "ok")
+        .when(filled & closed, "bad_timestamp")
+        .when(keys.isNull() | ~closed, "malformed")
         .when(F.size(F.array_except(required, keys)) > 0, "missing_required")
         .otherwise("null_required")
     )

@@ -140,7 +140,8 @@ def loose_messages(facts: DataFrame) -> DataFrame:
         member("created_at", quoted(_iso("event_created_at"))),
         F.when(n % 3 == 1, member("public", "null")).when(n % 3 == 2, member("public", "false")),
         F.when(n % 4 == 1, member("payload", "null"))
-        .when(n % 4 > 1, member("payload", F.concat(F.lit('{"k": '), k, F.lit("}")))),
+        .when(n % 4 == 2, member("payload", F.concat(F.lit('{"k": '), k, F.lit("}"))))
+        .when(n % 4 == 3, member("payload", quoted(k))),
         F.when(n % 5 == 1, member("org", "null"))
         .when(n % 5 == 2, member("org", "{}"))
         .when(n % 5 == 3, member("org", F.concat(F.lit('{"login":"acme","id":'), k, F.lit("}"))))

@@ -84,7 +84,8 @@ ORACLES = {
       CASE WHEN n % 73 <> 0 THEN CAST(repo_id AS VARCHAR) END AS repo_id, repo_name,
       'https://example.org/' || CAST(repo_id AS VARCHAR) AS repo_url,
       strftime(event_created_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS created_at,
-      CASE WHEN n % 4 = 0 THEN '{{}}' WHEN n % 4 > 1 THEN '{{"k":' || CAST(repo_id AS VARCHAR) || '}}' END AS payload,
+      CASE n % 4 WHEN 0 THEN '{{}}' WHEN 2 THEN '{{"k":' || CAST(repo_id AS VARCHAR) || '}}'
+        WHEN 3 THEN CAST(repo_id AS VARCHAR) END AS payload,
       CASE n % 3 WHEN 0 THEN 'true' WHEN 2 THEN 'false' END AS public,
       CASE n % 5 WHEN 3 THEN '{{"id":' || CAST(repo_id AS VARCHAR) || '}}' WHEN 4 THEN '{{"id":null}}' END AS org
       FROM g""",
@@ -115,7 +116,8 @@ ORACLES = {
       CAST(CASE WHEN n % 73 <> 0 THEN CAST(repo_id AS VARCHAR) END AS BIGINT) AS repo_id,
       CAST(CASE WHEN n % 79 <> 0 THEN CAST(actor_id AS VARCHAR) END AS BIGINT) AS actor_id,
       event_created_at AS created_at,
-      CASE WHEN n % 4 = 0 THEN '{{}}' WHEN n % 4 > 1 THEN '{{"k":' || CAST(repo_id AS VARCHAR) || '}}' END AS payload
+      CASE n % 4 WHEN 0 THEN '{{}}' WHEN 2 THEN '{{"k":' || CAST(repo_id AS VARCHAR) || '}}'
+        WHEN 3 THEN '"' || CAST(repo_id AS VARCHAR) || '"' END AS payload
       FROM g""",
     "dim_repos_from_messages": REPOS.replace("FROM g GROUP", "FROM g WHERE n % 73 <> 0 GROUP"),
     "orphan_events": f"""{G} SELECT actor_id, count(*) AS event_count FROM g WHERE actor_id % 10 = 3

@@ -48,6 +48,8 @@ STATUS = [
     ("not json", "malformed"),
     ('{"id":"1"', "malformed"),
     (event()[:-1], "malformed"),
+    (event() + " trailing", "malformed"),
+    (event() + " \n", "ok"),
     ('[{"id":"9"}]', "malformed"),
     ("", "malformed"),
     (None, "malformed"),
@@ -152,3 +154,15 @@ def test_event_time_needs_date_and_time(spark):
     texts = [("12:30:00",), ("2024-01-01",), ("2024-01-01T00:00:30Z",), ("2024-01-01 00:00:30",), (None,)]
     found = spark.createDataFrame(texts, "t string").select(event_time("t").isNotNull().alias("ok")).collect()
     assert [r.ok for r in found] == [False, False, True, True, False]
+
+
+PAYLOADS = ['"text"', '"5"', "5", "true", "[1,2]", '{"k":1,"k":2}', '"{\\"a\\":1}"', '"q\\"z"', "null"]
+
+
+def test_payloads_pass_unchanged(spark):
+    """Texts, numbers, arrays, repeated keys: the JSON of the payload is what came in."""
+    texts = [event()[:-1] + f', "payload": {payload}}}' for payload in PAYLOADS]
+    texts.append(event(x=1)[:-1] + ', "x": 2, "payload": "in a record with repeated keys"}')
+    values = [bytes(row.value).decode() for row in to_log(canonicalise(messages(spark, *texts))).collect()]
+    wanted = [*PAYLOADS, '"in a record with repeated keys"']
+    assert all(f'"payload":{want},"public"' in value for want, value in zip(wanted, values, strict=True))
