@@ -56,7 +56,8 @@ def _sieve(ids: DataFrame, key: str):
 
 
 def _spot(key):
-    place = F.shiftrightunsigned(F.xxhash64(key.cast("long")), 64 - (SIEVE_BITS - 1).bit_length())
+    """Bucket, from 1, and bit of a key. Bucket 0 holds 0 and below, so places are counted from 1."""
+    place = F.shiftrightunsigned(F.xxhash64(key.cast("long")), 64 - (SIEVE_BITS - 1).bit_length()) + 1
     return F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
 
 

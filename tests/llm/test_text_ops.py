@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventpulse.llm import decontaminate, language_id, mixing, near_dedup, pii, queries, secrets, substring_dedup, toxicity
+from eventpulse.llm import decontaminate, language_id, mixing, near_dedup, pii, queries, secrets, substring_dedup, tables, toxicity
 from tests.llm import plain
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, n string, cls string, k string, spans string"
@@ -71,6 +71,15 @@ def test_group_of_near_copies_and_common_passage(spark):
     assert got == plain.near(rows)
 
 
+def test_sieve_holds_its_first_and_last_place(spark):
+    # xxhash64 of 552315331 begins with 27 bits of 0, that of 160884740 with 27 bits of 1
+    rows = spark.createDataFrame([(i,) for i in (552315331, 160884740, 1, 2, None)], "doc_id long")
+    ids = spark.createDataFrame([(i,) for i in (552315331, 160884740, 1, None)], "doc_id long")
+    assert sorted(r.doc_id for r in tables.only(rows, ids).collect()) == sorted([1, 160884740, 552315331])
+    marked, rest = tables.parted(rows, ids)
+    assert {r.doc_id for r in marked.collect()} == {1, 160884740, 552315331} and {r.doc_id for r in rest.collect()} == {2, None}
+
+
 @pytest.mark.parametrize("n", [5, 144, 145, 192, 193, 300, 396, 1000])
 def test_linked_sets_share_enough_of_their_sketches(n):
     rng = np.random.default_rng(n)
