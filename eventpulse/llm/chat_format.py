@@ -4,13 +4,14 @@ A template is any function from turns to text. Rendering successive prefixes of
 conversation and comparing consecutive outputs locates each turn's span: what was
 appended. Where an output does not begin with the one before, the template has
 rewritten history; the turn is flagged and its span starts where the outputs part.
-Where the text lies within a span is found the same way, by rendering the role with
-two probe texts that differ in one character.
+Where the text lies within a span is found the same way, by rendering the same prefix
+with two probe texts in the turn's place that differ in one character.
 
 Conversations are cut into blocks of BLOCK turn numbers, so that a long one spreads
-over tasks and prefixes stay short; a block is rendered after the last turn of the
-block before (its context, which absorbs what a template writes at the beginning).
-This fits templates whose output for a turn depends on the turn before at most.
+over tasks; each block is rendered after all turns before it (its context), so a
+template may look back as far as it likes. What is rendered grows with the square of
+a conversation's length, as it must for a template of which nothing is known, and a
+task holds the turns of one conversation up to its block.
 
 Turns are ordered by turn, role and text, null first, so repeated turns have a
 defined order. Null texts and roles are empty. Rows with a null conv_id are one
@@ -21,10 +22,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from hashlib import sha256
 from itertools import groupby
-from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -43,7 +42,7 @@ _TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>\n", re.DOTALL)
 
 def escape(text: str) -> str:
     """Put one more backslash into everything that looks like a control string."""
-    return _CONTROL.sub(r"\1\\\2\3", text)
+    return _CONTROL.sub(r"\1\\\2\3", text) if "<" in text or "[" in text else text
 
 
 def unescape(text: str) -> str:
@@ -60,6 +59,18 @@ def read_tagged(formatted: str) -> list[Turn]:
     return [(unescape(role), unescape(text)) for role, text in _TURN.findall(formatted)]
 
 
+def _shared(a: str, b: str) -> int:
+    """Length of the common beginning, by comparing halves: texts are long and mostly alike."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def locate(render: Callable[[list[Turn]], str], turns: list[Turn], skip: int = 0) -> list[tuple[str, int, int, bool]]:
     """(segment, text start, text end, rewrites history) of each turn after the first ``skip``.
 
@@ -68,31 +79,29 @@ def locate(render: Callable[[list[Turn]], str], turns: list[Turn], skip: int = 0
     out = []
     before = render(turns[:skip]) if skip else ""
 
-    @lru_cache(maxsize=64)
-    def frame(role: str, context: tuple[Turn, ...]) -> tuple[int, int]:
-        base = render(list(context)) if context else ""
-        one, two = (render([*context, (role, probe)]) for probe in ("a", "b"))
-        at = len(commonprefix([one, two]))
-        return at - len(commonprefix([base, one])), len(one) - at - 1
-
     for k in range(skip, len(turns)):
         now = render(turns[: k + 1])
         rewrites = not now.startswith(before)
-        segment = now[len(commonprefix([before, now])) if rewrites else len(before) :]
-        head, tail = frame(turns[k][0], tuple(turns[max(0, k - 1) : k]))
-        out.append((segment, head, len(segment) - tail, rewrites))
+        begin = _shared(before, now) if rewrites else len(before)
+        one, two = (render([*turns[:k], (turns[k][0], probe)]) for probe in ("a", "b"))
+        at = _shared(one, two)
+        start = max(at - begin, 0)
+        end = max(len(now) - begin - (len(one) - at - 1), start)
+        out.append((now[begin:], start, end, rewrites))
         before = now
     return out
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows with their block, plus for each later block the last turn before it as context."""
+    """Rows with their block, plus for each later block all rows before it as context."""
     block = F.floor(F.col("turn") / BLOCK)
     rows = rows.withColumn("block", block).withColumn("context", F.lit(False))
-    last = rows.groupBy("conv_id", "block").agg(F.max(F.struct("turn", "role", "text")).alias("last"))
-    before = F.lag("last").over(Window.partitionBy("conv_id").orderBy(F.col("block").asc_nulls_first()))
-    context = last.withColumn("before", before).where("before is not null")
-    context = context.select("conv_id", "before.turn", "before.role", "before.text", "block", F.lit(True).alias("context"))
+    order = Window.partitionBy("conv_id").orderBy(F.col("block").asc_nulls_first())
+    later = F.collect_list("block").over(order.rowsBetween(1, Window.unboundedFollowing))
+    blocks = rows.select("conv_id", "block").distinct().withColumn("later", later).where(F.size("later") > 0)
+    blocks = blocks.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "later")
+    before = rows.join(blocks, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("block").eqNullSafe(F.col("b")))
+    context = before.select("conv_id", "turn", "role", "text", F.explode("later").alias("block"), F.lit(True).alias("context"))
     return rows.unionByName(context)
 
 

@@ -48,6 +48,29 @@ def test_chats(spark):
     assert chat_format.digests(chat_format.format_chats(chats.limit(0))).count() == 0
 
 
+def numbered(turns):
+    return "You are helpful.\n" + "".join(f"{k}. {role}: {text}\n" for k, (role, text) in enumerate(turns, 1))
+
+
+def elides(turns):
+    return "".join(f"{role}:{text if k >= len(turns) - 70 else '...'};" for k, (role, text) in enumerate(turns))
+
+
+@pytest.mark.parametrize("render, rewrites", [(numbered, 0), (elides, 130)])
+def test_templates_that_look_far_back(spark, render, rewrites):
+    turns = [(("user", "assistant")[t % 2], f"text {t}") for t in range(200)]
+    rows = [(c, t, *turn) for c in (1, None) for t, turn in enumerate(turns)]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = chat_format.format_chats(chats, render).collect()
+    for conv_id in (1, None):
+        blocks = sorted((r for r in got if r.conv_id == conv_id), key=lambda r: r.block)
+        assert [r.n_turns for r in blocks] == [64, 64, 64, 8] and sum(r.rewrites for r in blocks) == rewrites
+        shown = "".join(r.formatted for r in blocks)
+        assert (shown == render(turns)) == (not rewrites)
+        learned = [r.formatted[a:b] for r in blocks for a, b in r.mask]
+        assert learned == [text for role, text in turns if role == "assistant"]
+
+
 def plain_links(rows):
     out = {i: 0 for i, _, _ in rows}
     links = []
