@@ -10,6 +10,7 @@ from eventpulse.plans import fixtures
 from eventpulse.plans.refresh import refresh_rollups_jdbc
 from eventpulse.schemas import FACT
 from eventpulse.session import work_dir
+from eventpulse.sinks.jdbc import jdbc_writer
 from eventpulse.sources.log import read_log_files
 from eventpulse.streaming.ingest import start_jdbc_ingest
 
@@ -56,3 +57,28 @@ def test_stream_into_a_table_and_refresh(spark, tables):
         stored = fact.where("repo_name is not null") if name == "repo_activity" else fact
         assert rows.agg(F.sum("event_count")).first()[0] == stored.count()
         assert ("last_updated" in rows.columns) == (name != "minute")
+
+
+@pytest.mark.parametrize("key", ["{}", "B-{}"])
+def test_an_id_with_another_time_in_a_later_batch(spark, monkeypatch, key):
+    root, asked = work_dir(spark, "tables"), []
+    batches = [[(9, "2024-01-01"), (100, "2024-01-05")], [(9, "2024-03-01"), (10, "2024-03-02")], [(100, "2023-12-01"), (99, "2024-03-03")]]
+
+    def read(self, url, table, properties=None):
+        asked.append(table)
+        return spark.sql(f"SELECT * FROM {table}")
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", read)
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, properties=None: self.parquet(f"{url}/{table}"))
+    shape = "event_id string, event_created_at timestamp, kafka_partition int, kafka_offset long"
+    spark.createDataFrame([], shape).write.parquet(f"{root}/fact")
+    write = jdbc_writer(root, "fact", {})
+    for n, rows in enumerate(batches):
+        spark.read.parquet(f"{root}/fact").createOrReplaceTempView("fact")
+        batch = spark.createDataFrame([(key.format(i), t, 0, k) for k, (i, t) in enumerate(rows)], "event_id string, t string, kafka_partition int, kafka_offset long")
+        write(batch.withColumn("t", F.col("t").cast("timestamp")).withColumnRenamed("t", "event_created_at"), n)
+    stored = spark.read.parquet(f"{root}/fact").collect()
+    assert sorted((r.event_id, str(r.event_created_at)[:10]) for r in stored) == sorted(
+        (key.format(i), t) for i, t in [(9, "2024-01-01"), (100, "2024-01-05"), (10, "2024-03-02"), (99, "2024-03-03")]
+    )
+    assert all(("BETWEEN" in query) == (key == "{}") for query in asked)
