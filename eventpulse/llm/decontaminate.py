@@ -242,6 +242,19 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a benchmark window, all columns as they were. A doc_id goes if any row of it is hit."""
-    hit = matches(docs, benchmark).where("n_hit > 0 and doc_id is not null").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id") == F.col("_hit"), "left_anti")
+    """The rows of ``docs`` without a benchmark window, all columns as they were.
+
+    Each row is judged by its own text, in place, so its doc_id may be null or repeated and no text is shuffled.
+    """
+    small_batches(docs.sparkSession)
+    blocks = [docs.sparkSession.sparkContext.broadcast(block) for block in _blocks(benchmark)]
+    width = len(docs.columns)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_searched_text", most=SHARD_BYTES):
+            shard = Shard(batch.column(width))
+            for block in blocks:
+                shard.search(block.value)
+            yield batch.select(range(width)).filter(pa.array([n == 0 for n in shard.hits()], pa.bool_()))
+
+    return docs.withColumn("_searched_text", F.col("text").cast("string")).mapInArrow(keep, docs.schema)

@@ -123,6 +123,16 @@ def test_contamination(spark, texts):
     assert decontaminate.matches(frame(spark, texts), bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
 
 
+def test_each_row_is_judged_by_its_own_text(spark):
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    rows = [(None, "zero one two three"), (None, "clean"), (1, "one two three"), (1, "one two"), (2, None), (3, ""), (4, "One, two: three!")]
+    docs = frame(spark, rows)
+    kept = decontaminate.clean(docs, bench)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(None, "clean"), (1, "one two"), (2, None), (3, "")}
+    assert decontaminate.clean(docs, bench.limit(0)).count() == len(rows) and decontaminate.clean(docs.limit(0), bench).count() == 0
+
+
 def test_contamination_in_blocks(spark, texts, monkeypatch):
     items = [(k, " ".join(words(k, 200)[k : k + 30])) for k in range(1, 9)]
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)
