@@ -1,7 +1,7 @@
 r"""SQL for the registered queries, where it can express them.
 
 Without SQL: op2 and op7 (places of matches), op4 (order seeded by a hash), op6 and
-op8 (learned), pipeline. Tests compare those with plain versions or measure them.
+op8 (learned), op12 (crc32), pipeline. Tests compare those with plain versions or measure them.
 """
 
 from __future__ import annotations
@@ -69,4 +69,22 @@ WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS
            FROM words LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op11_exact_dedup": f"""
+WITH t AS (SELECT doc_id, sha256({_SMALL}) AS text_sha256 FROM documents),
+  g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)""",
+    "op13_hard_negatives": """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+        FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+  p AS (SELECT a AS anchor_id, b AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+  n AS (SELECT p.*, b AS negative_id, score AS negative_score,
+          CAST(row_number() OVER (PARTITION BY a, p.positive_id ORDER BY score DESC, b) AS INTEGER) AS rank
+        FROM p JOIN s ON a = anchor_id AND NOT same
+        AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
 }

@@ -11,11 +11,14 @@ from eventpulse.llm import (
     chat_format,
     decontaminate,
     embedding_dedup,
+    exact_dedup,
+    hard_negatives,
     language_id,
     mixing,
     near_dedup,
     pii,
     secrets,
+    spelling,
     substring_dedup,
     toxicity,
 )
@@ -89,6 +92,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"), all_digests=True)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,6 +116,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_secret_scan, op3_near_dedup, op4_mixing, op5_decontaminate, op6_toxicity, op7_pii,
-        op8_language_id, op9_embedding_dedup, op10_substring_dedup, pipeline,
+        op8_language_id, op9_embedding_dedup, op10_substring_dedup, op11_exact_dedup, op12_spelling, op13_hard_negatives, pipeline,
     )
 }

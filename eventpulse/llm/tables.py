@@ -1,12 +1,8 @@
-"""Helpers on tables: working copies in the shared folder, id parts, connected components."""
+"""Helpers on tables: working copies in the shared folder, parts by id, connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventpulse.session import work_dir
@@ -44,39 +40,48 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SIEVE_BITS = 1 << 27
 
 
-def _sieve(ids: DataFrame, key: str):
-    """Broadcast bitmap of hashed ids: a bit that is not set proves that the id is absent."""
-    bucket, bit = _spot(F.col(key))
-    bits = ids.select(bucket.alias("bucket"), bit.alias("bit"))
-    maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
-    sieve = np.zeros(SIEVE_BITS // 8 + 4096, np.uint8)
-    for number, block in zip(maps["bucket"].to_pylist(), maps["bits"].to_pylist(), strict=True):
-        sieve[(number - 1) * 4096 : number * 4096] = np.frombuffer(block, np.uint8)
-    return ids.sparkSession.sparkContext.broadcast(sieve)
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that is not taken, whatever the case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-def _spot(key):
+def _spot(key: Column) -> tuple[Column, Column]:
     """Bucket, from 1, and bit of a key. Bucket 0 holds 0 and below, so places are counted from 1."""
     place = F.shiftrightunsigned(F.xxhash64(key.cast("long")), 64 - (SIEVE_BITS - 1).bit_length()) + 1
     return F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
 
 
-def _sieved(rows: DataFrame, shared, key: str, inside: bool) -> DataFrame:
-    """The rows whose bit is set, or is not set; a null key has no bit."""
-    width, name = len(rows.columns), "_spot"
-    while name in rows.columns:
-        name += "_"
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            at = batch.column(width).fill_null(-1).to_numpy()
-            found = (at >= 0) & ((own[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1)
-            yield batch.select(range(width)).filter(pa.array(found == inside))
+def sieve_of(ids: DataFrame, key: str) -> DataFrame:
+    """Bitmap of hashed ids: a bit that is not set proves that the id is absent.
 
+    At most 4097 rows (bucket, words) of 4 KB, whatever the input, so it may be broadcast.
+    """
     bucket, bit = _spot(F.col(key))
-    spot = F.when(F.col(key).isNotNull(), (bucket - 1) * 32768 + bit)
-    return rows.select("*", spot.alias(name)).mapInArrow(choose, rows.schema)
+    bits = ids.where(F.col(key).isNotNull()).select(bucket.alias("bucket"), bit.alias("bit"))
+    maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    word = "cast(conv(hex(substring(bits, 8 * i + 1, 8)), 16, -10) as bigint)"
+    return stored(maps.select("bucket", F.expr(f"transform(sequence(0, 511), i -> {word})").alias("words")), "sieve")
+
+
+def with_bit(rows: DataFrame, sieve: DataFrame, key: Column, name: str) -> DataFrame:
+    """``rows`` and a boolean: whether the bit of ``key`` is set. A null key has no bit."""
+    bucket, bit = _spot(key)
+    at, words = fresh("sieve_bucket", rows.columns), fresh("sieve_words", rows.columns)
+    maps = F.broadcast(sieve.select(F.col("bucket").alias(at), F.col("words").alias(words)))
+    # the eight bytes of a word stand with the first one highest
+    place = 56 - 8 * F.floor(bit % 64 / 8) + bit % 8
+    found = F.getbit(F.get(words, F.floor(bit / 64).cast("int")), place.cast("int")) == 1
+    joined = rows.join(maps, key.isNotNull() & (bucket == F.col(at)), "left")
+    return joined.select(*[rows[column] for column in rows.columns], F.coalesce(found, F.lit(False)).alias(name))
+
+
+def _sieved(rows: DataFrame, sieve: DataFrame, key: str, inside: bool) -> DataFrame:
+    """The rows whose bit is set, or is not set."""
+    name = fresh("in_sieve", rows.columns)
+    return with_bit(rows, sieve, F.col(key), name).where(F.col(name) == inside).drop(name)
 
 
 def only(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -85,7 +90,7 @@ def only(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     A bitmap of hashed ids drops most other rows before the shuffle. Its size is
     bounded: with more ids it lets more rows through, and the join decides.
     """
-    near = _sieved(rows.where(F.col(key).isNotNull()), _sieve(ids, key), key, True)
+    near = _sieved(rows, sieve_of(ids, key), key, True)
     return near.join(ids.distinct(), key, "left_semi")
 
 
@@ -94,8 +99,8 @@ def parted(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[DataFr
 
     The bitmap is that of only(); the second part needs no join, hence no shuffle.
     """
-    shared = _sieve(ids, key)
-    return _sieved(rows, shared, key, True), _sieved(rows, shared, key, False)
+    sieve = sieve_of(ids, key)
+    return _sieved(rows, sieve, key, True), _sieved(rows, sieve, key, False)
 
 
 def remainder(column: str, modulus: int):

@@ -1,7 +1,10 @@
 """Plain versions of the operators for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
+from fractions import Fraction
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -118,3 +121,66 @@ def pii_base(text):
             ):
                 spans.append(f"{('email', 'ip', 'card', 'phone')[k]}:{m.start()}:{m.end()}")
     return ",".join(spans)
+
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def spelled(docs):
+    """Occurrences of each word that counts."""
+    total = {}
+    for i, text in docs:
+        for run in RUN.findall(text or ""):
+            run = small(run)
+            h = zlib.crc32(f"{'null' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1 :]
+            total[run] = total.get(run, 0) + 1
+    return {w: n for w, n in total.items() if len(w) >= 6 and n >= 5}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    k = next((k for k in range(len(a)) if a[k] != b[k]), len(a))
+    return a[k + 1 :] == b[k + 1 :] if len(a) == len(b) else a[k:] == b[k + 1 :]
+
+
+def spelling(total):
+    """(word, form, root, n, n_near, form_n) of each word."""
+    forms, near = {}, {}
+    for w, n in total.items():
+        about = [v for v in total if one_edit(w, v)]
+        best = min(about, key=lambda v: (-total[v], v), default=None)
+        near[w] = len(about)
+        forms[w] = best if best and total[best] >= 5 * n else None
+    out = []
+    for w, n in total.items():
+        root = w
+        while forms[root]:
+            root = forms[root]
+        out.append((w, forms[w], root, n, near[w], total[forms[w]] if forms[w] else None))
+    return sorted(out)
+
+
+def mined(rows, anchor, positives=5, negatives=3):
+    """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) for unique ids."""
+    valid = [(i, x, [math.floor(256 * Fraction(c)) for c in v]) for i, x, v in rows
+             if None not in (i, x) and v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    top = 2**63 - 1
+
+    def score(a, b):
+        return max(-top - 1, min(top, sum(x * y for x, y in zip(a, b))))
+
+    out = []
+    for i, x, v in valid:
+        if not anchor(i):
+            continue
+        found = sorted(((-score(v, w), j, y) for j, y, w in valid if j != i))
+        for p, j, _ in [f for f in found if f[2] == x][:positives]:
+            fits = [f for f in found if f[2] != x and 50 * -p <= 100 * -f[0] <= 95 * -p][:negatives]
+            out += [(i, j, k, f[1], -p, -f[0]) for k, f in enumerate(fits, 1)]
+    return sorted(out)

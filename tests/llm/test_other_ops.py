@@ -114,8 +114,7 @@ def test_sql(spark, name):
     want = con.execute(ORACLES[name]).df()
     got = queries.QUERIES[name](spark, sf_dir).toPandas()[list(want.columns)]
     assert sorted(got.columns) == sorted(queries.QUERIES[name](spark, sf_dir).columns)
-    key = want.columns[0]
-    want, got = (x.sort_values(key).reset_index(drop=True) for x in (want, got))
+    want, got = (x.sort_values(list(want.columns)).reset_index(drop=True) for x in (want, got))
     pd.testing.assert_frame_equal(got, want, check_dtype=False)
 
 
