@@ -14,8 +14,8 @@ of 31 positions are hashed.
 
 Documents with the same words as a whole are found first, by a digest; only the
 smallest doc_id of each takes part, the others lose all words if they have 50.
-Windows are compared by 64-bit hashes: among 10**12 windows, one has a clash with
-a chance below 10**-7. Null or empty texts have no words. A null doc_id is neither
+Windows are compared by two 64-bit hashes over their words' hashes: among 10**12
+windows the chance of any clash is below 10**-13. Null or empty texts have no words. A null doc_id is neither
 smaller nor larger than another; its row keeps its words. Rows that repeat a
 doc_id are judged each for itself and don't remove each other.
 """
@@ -32,13 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventpulse.llm.tables import discard, only, small_batches, stored
-from eventpulse.llm.words import hash_spans, slices, words_of
+from eventpulse.llm.words import STEPS, slices, windows, words_of
 
 WINDOW = 50
 PERIOD = 31
 COVER = np.array([0, 1, 3, 8, 12, 18])
 ANCHOR = WINDOW - PERIOD + 1
-_STEP = 0xD6E8FEB86659FD93
 EMPTY = sha256(b"").hexdigest()
 
 
@@ -68,7 +67,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = []
         for own in rows:
             at = anchor_places(len(own)) if len(own) >= WINDOW else np.zeros(0, np.int64)
-            anchors.append(hash_spans(own, at, at + ANCHOR, _STEP).view(np.int64))
+            anchors.append(windows(own, ANCHOR)[at].view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([len(own) for own in rows], pa.int64()), pa.array([k[0] for k in keys], pa.int64()),
              pa.array([k[1] for k in keys], pa.int64()), pa.array(sha, pa.string()), pa.array(anchors, pa.list_(pa.int64()))],
@@ -88,11 +87,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(mark, np.maximum(at - PERIOD + 1, 0), 1)
             np.add.at(mark, np.minimum(at, last) + 1, -1)
             start = np.flatnonzero(np.cumsum(mark)[: last + 1])
-            hashes = hash_spans(own, start, start + WINDOW, _STEP).view(np.int64)
             n = len(start)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes), pa.array(np.full(n, doc_id, np.int64)), pa.array(np.full(n, k, np.int64)), pa.array(start.astype(np.int32))],
-                ["h", "doc_id", "k", "start"],
+                [*(pa.array(windows(own, WINDOW, step)[start].view(np.int64)) for step in STEPS), pa.array(np.full(n, doc_id, np.int64)), pa.array(np.full(n, k, np.int64)), pa.array(start.astype(np.int32))],
+                ["h", "h2", "doc_id", "k", "start"],
             )
 
 
@@ -131,14 +129,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     lead = long.join(first, ["k", "k2"]).where("doc_id = first").select("doc_id", "k", "anchors")
     lead = stored(lead.dropDuplicates(["doc_id", "k"]), "lead")
     discard(full)
-    many = lead.select(F.explode("anchors").alias("h")).groupBy("h").count().where("count > 1").select("h")
+    # what is joined is stored first: Spark splits a hot key of a join, but not one that it also aggregates by
+    many = stored(lead.select(F.explode("anchors").alias("h")).groupBy("h").count().where("count > 1").select("h"), "many")
     hits = lead.select("doc_id", "k", F.posexplode("anchors").alias("i", "h")).join(many, "h", "left_semi")
     hits = stored(hits.groupBy("doc_id", "k").agg(F.collect_list("i").alias("hits")), "hits")
     discard(lead)
     texts = only(rows, hits.select("doc_id")).distinct().join(hits, "doc_id").select("doc_id", "text", "k", "hits")
-    found = stored(texts.mapInArrow(_windows, "h long, doc_id long, k long, start int"), "windows")
-    least = found.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h", "lo")
-    gone = found.join(least, "h").where("doc_id > lo").groupBy("doc_id", "k").agg(F.collect_list("start").alias("starts"))
+    found = stored(texts.mapInArrow(_windows, "h long, h2 long, doc_id long, k long, start int"), "windows")
+    least = found.groupBy("h", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    least = stored(least.select("h", "h2", "lo"), "least")
+    gone = found.join(least, ["h", "h2"]).where("doc_id > lo").groupBy("doc_id", "k").agg(F.collect_list("start").alias("starts"))
     gone = stored(gone, "gone")
     discard(found)
     texts = only(rows, gone.select("doc_id")).distinct().join(gone, "doc_id").select("doc_id", "text", "k", "starts")

@@ -1,15 +1,19 @@
 """Words of a batch of texts as 64-bit hashes, computed with numpy inside tasks.
 
 A batch is one byte buffer with row offsets, as Arrow holds it, so no string
-object is made per word. The hash of a word is a polynomial over its bytes modulo
-2**64, read off prefix sums, mixed afterwards; sequences of words are hashed the
-same way over word hashes. Equal hashes are taken as equal words: with 10**12
-different words, the chance of any clash with a given one is below 10**-7.
+object is made per word. A word is hashed eight bytes at a time, each step a bijection
+of what came before combined with the next bytes; words of more than LONG bytes are
+hashed by BLAKE2b. So words of up to eight bytes with the same length never share a
+hash, and all others do so by chance only. A run of words is hashed by doubling: the
+hash of two neighbouring runs is a mixed combination of theirs. Equal hashes are taken
+as equal words: with 10**12 different words, the chance of any clash with a given one
+is below 10**-7.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -17,14 +21,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SEGMENT = 1 << 18
-#: Text that a task works on at a time; arrays over its words and grams take up to 80 times that.
-BATCH_BYTES = 1 << 20
+#: Bytes of a word that are hashed eight at a time; a longer word is hashed on its own.
+LONG = 128
+#: Text that a task works on at a time; arrays over its words and grams take up to 40 times that.
+BATCH_BYTES = 1 << 19
 
-_rng = np.random.default_rng(20240607)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_BASE, _STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_SEED = U64(0xA0761D6478BD642F)
+#: Multipliers of two independent hashes of runs.
+STEPS = (U64(0xD6E8FEB86659FD93), U64(0x9E3779B97F4A7C15))
 
 
 def _table(separators: bytes | range | list[int]) -> np.ndarray:
@@ -49,31 +53,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**0 ... base**(n-1) and their inverses modulo 2**64."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, SEGMENT + 1024)
-        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        have = _powers[base] = (np.cumprod(up), np.cumprod(down))
-    return have
-
-
-def hash_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Hash of values[start:end] for each span; starts ascend. Works in segments of bounded size."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + SEGMENT)))
-        lo, hi = int(starts[i]), int(ends[i:j].max())
-        up, down = powers(base, hi - lo + 1)
-        prefix = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(values[lo:hi] * up[: hi - lo], out=prefix[1:])
-        first, last = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = (prefix[last] - prefix[first]) * down[first]
-        i = j
-    return mix(out + (ends - starts).astype(np.uint64) * U64(0xA0761D6478BD642F))
+def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span."""
+    size = ends - starts
+    out = mix(size.astype(U64) + _SEED)
+    if not len(data):
+        return out
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    # the eight bytes from each place on, without a copy
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    live, at = np.flatnonzero(size), 0
+    while len(live) and at < LONG:
+        left = size[live] - at
+        part = eight[starts[live] + at]
+        short = left < 8
+        part[short] &= (U64(1) << (8 * left[short]).astype(U64)) - U64(1)
+        out[live] = mix(out[live] ^ part)
+        live, at = live[left > 8], at + 8
+    for k in live.tolist():
+        digest = blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest()
+        out[k] = int.from_bytes(digest, "little")
+    return out
 
 
 class Words(NamedTuple):
@@ -113,22 +113,28 @@ def words_of(column: pa.Array, inside: np.ndarray = SPACED, lower: bool = False)
     if lower:
         data = LOWER[data]
     starts, ends, bounds = spans_of(data, offsets, inside)
-    return Words(hash_spans(_BYTE[data], starts, ends, _BASE), starts, ends, bounds)
+    return Words(hash_words(data, starts, ends), starts, ends, bounds)
 
 
-def windows(hashes: np.ndarray, width: int) -> np.ndarray:
+def windows(hashes: np.ndarray, width: int, step: np.uint64 = STEPS[0]) -> np.ndarray:
     """Hash of each run of ``width`` words of one sequence; none if it is shorter."""
     n = len(hashes) - width + 1
     if n <= 0:
-        return np.zeros(0, np.uint64)
-    at = np.arange(n)
-    return hash_spans(hashes, at, at + width, _STEP)
-
-
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+        return np.zeros(0, U64)
+    out, done, part, size = None, 0, hashes, 1
+    while True:
+        if width & size:
+            out = part if out is None else mix(out[: len(part) - done] * step ^ part[done:])
+            done += size
+        if done == width:
+            return out[:n]
+        part, size = mix(part[:-size] * step ^ part[size:]), 2 * size
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str | int = "text", most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows again in batches of at most ``most`` bytes of text, or one row."""
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text))
+        column = batch.column(batch.schema.get_field_index(text) if isinstance(text, str) else text)
         size = np.asarray(pc.binary_length(column).fill_null(0)).astype(np.int64)
         total = np.concatenate(([0], np.cumsum(size)))
         i = 0
