@@ -9,7 +9,9 @@ longest verbatim match and its place, the interval of its first ``WINDOW`` words
 gives all occurrences of that window. Nothing is shuffled.
 
 The benchmark is the stated query set: it is broadcast in blocks of BLOCK_WORDS
-words, and refused above MOST_WORDS (then split it and combine the results).
+words. A pass over the documents searches at most PASS_WORDS of them, so a task's
+memory is bounded whatever the benchmark; a larger one takes several passes, each of
+which carries on the hit words, items and matches of those before.
 
 Null or empty texts have no words; such documents are clean and such items have no
 window. Items with a null id mark words, but are not named. An item_id with several
@@ -27,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventpulse.llm.tables import small_batches
+from eventpulse.llm.tables import small_batches, stored, text_column
 from eventpulse.llm.words import ALNUM, slices, words_of
 
 WINDOW = 10
-SHARD_BYTES = 1 << 23
+SHARD_BYTES = 1 << 20
 BLOCK_WORDS = 1 << 20
-MOST_WORDS = 1 << 26
+#: About 60 bytes a word in each Python worker.
+PASS_WORDS = 1 << 21
 STEP = 16
 
 
@@ -50,6 +53,7 @@ class Block(NamedTuple):
     pairs: np.ndarray  # sorted keys of adjacent words
     single: np.ndarray  # by rank: is the word a whole item
     names: list[str | None]
+    first: np.ndarray  # by rank: an item that holds the word
 
 
 def block_of(rows: list[tuple[str | None, np.ndarray]]) -> Block:
@@ -73,7 +77,10 @@ def block_of(rows: list[tuple[str | None, np.ndarray]]) -> Block:
     key = words[:-1] * (len(vocabulary) + 1) + words[1:]
     pairs = np.unique(key[(words[:-1] > 0) & (words[1:] > 0)])
     join = np.concatenate
-    return Block(vocabulary, words, join(suffixes), join(left), join(item), join(windows), join(width), pairs, single, [n for n, _ in rows])
+    suffixes, item = join(suffixes), join(item)
+    first = np.zeros(len(vocabulary) + 1, np.int64)
+    first[words[suffixes][::-1]] = item[::-1]
+    return Block(vocabulary, words, suffixes, join(left), item, join(windows), join(width), pairs, single, [n for n, _ in rows], first)
 
 
 def member(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,6 +158,7 @@ class Shard:
         at, known = member(self.hashes, block.vocabulary)
         text = np.zeros(len(self.hit) + 1, np.int64)
         text[self.place] = np.where(known, at + 1, 0)
+        self._one_word(text, block)
         both = np.flatnonzero((text[:-1] > 0) & (text[1:] > 0))
         key = text[both] * (len(block.vocabulary) + 1) + text[both + 1]
         starts = np.union1d(both[member(key, block.pairs)[1]], np.flatnonzero(block.single[text]))
@@ -178,6 +186,30 @@ class Shard:
             if block.names[number] is not None:
                 self.items[row].add(block.names[number])
 
+    def _one_word(self, text: np.ndarray, block: Block) -> None:
+        """A document's first known word is a match of one word; longer ones come from the suffix array."""
+        found = np.flatnonzero(text)
+        doc, at = np.unique(np.searchsorted(self.begin, found, side="right") - 1, return_index=True)
+        for row, spot in zip(doc.tolist(), found[at].tolist(), strict=True):
+            if not self.longest[row][0]:
+                self.longest[row] = (1, block.names[int(block.first[text[spot]])], spot - int(self.begin[row]))
+
+    def carry(self, hits: list[list[int]], items: list[list[str]], longest: list[tuple]) -> None:
+        """Take over what an earlier pass found in the same documents."""
+        for row, ends in enumerate(hits):
+            for lo, hi in zip(ends[::2], ends[1::2], strict=True):
+                self.hit[self.begin[row] + lo : self.begin[row] + hi] = True
+        self.items = [set(own) for own in items]
+        self.longest = longest
+
+    def spans(self) -> list[list[int]]:
+        """Bounds of the runs of hit words of each document."""
+        out = []
+        for begin, n in zip(self.begin.tolist(), self.n_words.tolist(), strict=True):
+            step = np.diff(self.hit[begin : begin + n].astype(np.int8), prepend=0, append=0)
+            out.append(np.flatnonzero(step).tolist())
+        return out
+
     def _longest(self, text: np.ndarray, array: np.ndarray, block: Block, suffix: np.ndarray) -> None:
         """The longest match of each test suffix stands next to it; keep the best of each document."""
         low = bound(text, array, block, suffix, block.left[suffix], False)
@@ -199,8 +231,8 @@ class Shard:
         return (total[self.begin + self.n_words] - total[self.begin]).tolist()
 
 
-def _blocks(benchmark: DataFrame) -> list[Block]:
-    """The benchmark in blocks, streamed to the driver."""
+def _passes(benchmark: DataFrame) -> Iterator[list[Block]]:
+    """The benchmark in blocks, streamed to the driver; as many at a time as one pass searches."""
     blocks, rows, size, total = [], [], 0, 0
     for name, text in benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).toLocalIterator():
         hashes = words_of(pa.array([text], pa.string()), ALNUM, lower=True).hashes
@@ -208,12 +240,18 @@ def _blocks(benchmark: DataFrame) -> list[Block]:
             continue
         rows.append((name, hashes))
         size, total = size + len(hashes), total + len(hashes)
-        if total > MOST_WORDS:
-            raise ValueError(f"the benchmark has more than {MOST_WORDS} words; split it and combine the results")
-        if size >= BLOCK_WORDS:
+        if size >= min(BLOCK_WORDS, PASS_WORDS):
             blocks.append(block_of(rows))
             rows, size = [], 0
-    return blocks + ([block_of(rows)] if rows else [])
+        if total >= PASS_WORDS and blocks and not rows:
+            yield blocks
+            blocks, total = [], 0
+    blocks += [block_of(rows)] if rows else []
+    if blocks:
+        yield blocks
+
+
+OUT = "doc_id long, n_words long, n_hit long, items array<string>, longest long, longest_item string, longest_at long"
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -222,23 +260,35 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     The last three are the longest match found at any test suffix: its words, item and first word.
     """
     small_batches(docs.sparkSession)
-    blocks = [docs.sparkSession.sparkContext.broadcast(block) for block in _blocks(benchmark)]
+    context = docs.sparkSession.sparkContext
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = None
+    for blocks in _passes(benchmark):
+        if found is not None:
+            found = stored(found, "passes")
+        found = _searched(rows if found is None else found, [context.broadcast(block) for block in blocks], found is not None)
+    found = _searched(rows, [], False) if found is None else found
+    return found.select("doc_id", "n_words", "n_hit", "items", "longest", "longest_item", "longest_at")
+
+
+def _searched(rows: DataFrame, blocks: list, again: bool) -> DataFrame:
+    """One pass: the documents with what these blocks, and the passes before, find in them."""
+    names = ["doc_id", "text", "n_words", "n_hit", "items", "longest", "longest_item", "longest_at", "hits"]
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64()))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SHARD_BYTES):
+        for batch in slices(batches, 1, most=SHARD_BYTES):
             shard = Shard(batch.column(1))
+            if again:
+                longest = zip(*(batch.column(k).to_pylist() for k in (5, 6, 7)), strict=True)
+                shard.carry(batch.column(8).to_pylist(), batch.column(4).to_pylist(), list(longest))
             for block in blocks:
                 shard.search(block.value)
             items = [sorted(own, key=str.encode) for own in shard.items]
-            columns = [
-                batch.column(0), pa.array(shard.n_words, pa.int64()), pa.array(shard.hits(), pa.int64()), pa.array(items, pa.list_(pa.string())),
-                *(pa.array([own[i] for own in shard.longest], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.int64()))),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_hit", "items", "longest", "longest_item", "longest_at"])
+            own = (shard.n_words, shard.hits(), items, *zip(*shard.longest, strict=True), shard.spans())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(own, kinds, strict=True))], names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = "doc_id long, n_words long, n_hit long, items array<string>, longest long, longest_item string, longest_at long"
-    return rows.mapInArrow(search, out)
+    return rows.mapInArrow(search, OUT.replace("doc_id long", "doc_id long, text string") + ", hits array<long>")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -247,14 +297,18 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Each row is judged by its own text, in place, so its doc_id may be null or repeated and no text is shuffled.
     """
     small_batches(docs.sparkSession)
-    blocks = [docs.sparkSession.sparkContext.broadcast(block) for block in _blocks(benchmark)]
-    width = len(docs.columns)
+    at = text_column(docs)
+    for number, blocks in enumerate(_passes(benchmark)):
+        docs = _without(stored(docs, "passes") if number else docs, [docs.sparkSession.sparkContext.broadcast(block) for block in blocks], at)
+    return docs
+
 
+def _without(docs: DataFrame, blocks: list, at: int) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_searched_text", most=SHARD_BYTES):
-            shard = Shard(batch.column(width))
+        for batch in slices(batches, at, most=SHARD_BYTES):
+            shard = Shard(batch.column(at))
             for block in blocks:
                 shard.search(block.value)
-            yield batch.select(range(width)).filter(pa.array([n == 0 for n in shard.hits()], pa.bool_()))
+            yield batch.filter(pa.array([n == 0 for n in shard.hits()], pa.bool_()))
 
-    return docs.withColumn("_searched_text", F.col("text").cast("string")).mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(keep, docs.schema)
