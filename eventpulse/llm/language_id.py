@@ -2,8 +2,8 @@
 
 Learning counts byte 4-grams of lower-cased letters on at most FIT_ROWS labelled
 texts per language (chosen by a hash of doc_id, whole texts). A language keeps a
-gram that it uses at least MIN_COUNT times and RATIO as often as the language that
-uses it most. Every slot of the filter is one bit for each language, 64 to a word:
+gram that it uses at least MIN_COUNT times (as many less as it has few grams: below
+RARE, once is enough) and RATIO as often as the language that uses it most. Every slot of the filter is one bit for each language, 64 to a word:
 the AND of a gram's HASHES slots is the set of all languages that may contain it.
 
 A text's popcount per language counts its grams with that bit. A language whose
@@ -27,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventpulse.llm.tables import only, remainder, small_batches, stored
+from eventpulse.llm.tables import only, remainder, small_batches, stored, text_column
 from eventpulse.llm.words import mix, slices
 
 GRAM = 4
 FIT_ROWS = 3000
 MIN_COUNT = 5
+#: Grams of a language that raise its least count by one, up to MIN_COUNT.
+RARE = 20_000
 RATIO = 0.25
 HASHES = 2
 SLOTS_PER_GRAM = 16
@@ -80,12 +82,11 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def places(gram: np.ndarray, slots: int) -> list[np.ndarray]:
     h = mix(gram.astype(np.uint64) + np.uint64(0x51ED27))
-    return [((h >> np.uint64(24 * k)) & np.uint64(slots - 1)).astype(np.int64) for k in range(HASHES)]
+    return [((h >> np.uint64(32 * k)) & np.uint64(slots - 1)).astype(np.int64) for k in range(HASHES)]
 
 
 def build(languages: list[str], gram: np.ndarray, language: np.ndarray) -> Filter:
     slots = 1 << max(10, int(len(gram) * SLOTS_PER_GRAM - 1).bit_length())
-    slots = min(slots, 1 << 24)
     table = np.zeros((slots, max(1, -(-len(languages) // 64))), np.uint64)
     bit = np.uint64(1) << (language % 64).astype(np.uint64)
     for at in places(gram, slots):
@@ -124,25 +125,30 @@ def learn(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Filter:
     small_batches(docs.sparkSession)
     rows = docs.where("doc_id is not null and lang is not null and text is not null")
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    ids = rows.select("doc_id", "lang")
+    sizes = stored(ids.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    # hashes are uniform: of twice as many rows as are wanted, half are surely enough, so a group to rank is small
+    place = F.xxhash64("doc_id") / 2.0**64 + 0.5
+    few = ids.join(sizes, "lang").where(place * F.col("rows") <= 2 * fit_rows)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= fit_rows)
+    chosen = few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= fit_rows)
     chosen = stored(chosen.select("doc_id", "lang").distinct(), "fit")
     texts = only(rows.select("doc_id", "text"), chosen.select("doc_id")).join(chosen, "doc_id").select("doc_id", "text", "lang")
     used = texts.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     used = stored(used, "grams")
     share = used.join(used.groupBy("lang").agg(F.sum("n").alias("all")), "lang").withColumn("f", F.col("n") / F.col("all"))
     top = share.groupBy("gram").agg(F.max("f").alias("top"))
-    kept = share.where(F.col("n") >= MIN_COUNT).join(top, "gram").where(F.col("f") >= RATIO * F.col("top")).select("gram", "lang").toArrow()
+    kept = share.where(F.col("n") >= F.least(F.lit(MIN_COUNT), 1 + F.floor(F.col("all") / RARE))).join(top, "gram").where(F.col("f") >= RATIO * F.col("top")).select("gram", "lang").toArrow()
     languages = sorted({r[0] for r in chosen.select("lang").distinct().collect()}, key=str.encode)
     number = {lang: k for k, lang in enumerate(languages)}
     language = np.asarray([number[x] for x in kept["lang"].to_pylist()], np.int64)
     return build(languages, kept["gram"].to_numpy().astype(np.uint32), language)
 
 
-def _judged(own: Filter, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, score and share of grams that the language holds, for each text."""
+def _judged(own: Filter, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, share of grams that the language holds and number of grams, for each text."""
     if not own.languages:
-        return ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+        return ["und"] * len(texts), *(np.zeros(len(texts)) for _ in range(3))
     hits, n = counts(own, texts)
     best = hits.argmax(axis=1)
     first = hits[np.arange(len(texts)), best]
@@ -150,7 +156,7 @@ def _judged(own: Filter, texts: list[str | None]) -> tuple[list[str], np.ndarray
     letters = np.asarray([has_letter(text) for text in texts], bool)
     lang = [own.languages[k] if some else "und" for k, some in zip(best, letters, strict=True)]
     score = np.where(letters & (first > 0), first / np.maximum(first + second, 1e-12), 0.0)
-    return lang, score, np.where(letters, np.minimum(1.0, first / np.maximum(n, 1)), 0.0)
+    return lang, score, np.where(letters, np.minimum(1.0, first / np.maximum(n, 1)), 0.0), n
 
 
 def identify(docs: DataFrame, model: Filter) -> DataFrame:
@@ -161,7 +167,7 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in slices(batches):
-            lang, score, known = _judged(own, batch.column(1).to_pylist())
+            lang, score, known, _ = _judged(own, batch.column(1).to_pylist())
             columns = [batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(known)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "known"])
 
@@ -178,16 +184,18 @@ def spoken(docs: DataFrame, known: float = KNOWN) -> DataFrame:
     """The rows of ``docs`` written in a learned language, all columns as they were.
 
     Each row is judged by its own text, in place, so no text is shuffled. It goes if
-    it is ``und`` or has fewer known grams than the share ``known``.
+    it is ``und`` or its share of known grams is below ``known`` by more than the largest
+    standard deviation of a share among so many grams, since a short text tells little;
+    a quarter of ``known`` is needed in any case.
     """
     shared = docs.sparkSession.sparkContext.broadcast(learn(training(docs)))
-    width = len(docs.columns)
+    at = text_column(docs)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in slices(batches, "_judged_text"):
-            lang, _, share = _judged(own, batch.column(width).to_pylist())
-            stay = (np.asarray(lang, object) != "und") & (share >= known)
-            yield batch.select(range(width)).filter(pa.array(stay, pa.bool_()))
+        for batch in slices(batches, at):
+            lang, _, share, n = _judged(own, batch.column(at).to_pylist())
+            stay = (np.asarray(lang, object) != "und") & (share >= np.maximum(known / 4, known - 0.5 / np.sqrt(np.maximum(n, 1))))
+            yield batch.filter(pa.array(stay, pa.bool_()))
 
-    return docs.withColumn("_judged_text", F.col("text").cast("string")).mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(keep, docs.schema)

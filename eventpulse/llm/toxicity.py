@@ -160,7 +160,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Scorer:
         lists = got.filter(pa.array(side == wanted))["buckets"].combine_chunks()
         sizes = np.asarray(lists.value_lengths().fill_null(0), np.int64) if len(lists) else np.zeros(0, np.int64)
         parts.append(Texts(np.asarray(lists.flatten(), np.int64) if len(lists) else np.zeros(0, np.int64), np.concatenate(([0], np.cumsum(sizes)))))
-    prior = min(max(n_pos / n if n else 0.0, 1e-4), 0.9)
+    # half an observation keeps it off 0 and 1, however rare toxic texts are
+    prior = (n_pos + 0.5) / (n + 1)
     return fit(*parts, prior)
 
 
