@@ -33,13 +33,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventpulse.llm.tables import components, discard, only, parted, small_batches, stored
+from eventpulse.llm.tables import components, discard, fresh, only, parted, small_batches, stored, text_column
 from eventpulse.llm.words import SPACED, slices, windows, words_of
 
 K = 192
 SHINGLE = 5
-#: Size of the table of value frequencies that orders the lists (16 MB): fixed, whatever the corpus.
+#: Size of the table of value frequencies that orders the lists (8 MB): fixed, whatever the corpus.
 BUCKETS = 1 << 21
 #: Standard deviations that an overlap of sketches and an estimated similarity may be off.
 SHARED_OFF, ESTIMATE_OFF = 7, 6
@@ -102,13 +103,13 @@ def _frequencies(classes: DataFrame):
     values = classes.select(F.explode("sketch").alias("value"))
     buckets = values.groupBy(F.col("value").bitwiseAND(BUCKETS - 1).cast("int").alias("bucket"))
     counts = buckets.agg(F.count("*").alias("n")).toArrow()
-    weight = np.zeros(BUCKETS, np.int64)
+    weight = np.zeros(BUCKETS, np.float32)
     weight[counts["bucket"].to_numpy()] = counts["n"].to_numpy()
     return classes.sparkSession.sparkContext.broadcast(weight)
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """(value, cls, n, place): each sketch under its rarest values."""
+    """(value, cls, n, place): each sketch under its rarest values, stored."""
     weights = _frequencies(classes)
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +127,9 @@ def _lists(classes: DataFrame) -> DataFrame:
                 columns = [pa.array(np.concatenate(x)) for x in (values, ids, sizes, places)]
                 yield pa.RecordBatch.from_arrays(columns, ["value", "cls", "n", "place"])
 
-    return classes.select("cls", "n", "sketch").mapInArrow(rarest, "value long, cls long, n long, place int")
+    lists = stored(classes.select("cls", "n", "sketch").mapInArrow(rarest, "value long, cls long, n long, place int"), "entries")
+    weights.destroy()
+    return lists
 
 
 def _possible(a: str, b: str):
@@ -189,6 +192,19 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+    signs, label = _labelled(docs, by_id=True)
+    label = label.select(F.col("cls").alias("_cls"), F.col("first.rep").alias("component_id"))
+    joined = signs.join(label, signs.cls == label["_cls"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return joined.select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def _labelled(docs: DataFrame, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, cls) of each row, and (cls, rep, first) of each class: its smallest doc_id, and
+    that of its component with the class it comes from. ``by_id``: a doc_id links the classes of its texts."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     full = stored(rows.mapInArrow(_sketches, "doc_id long, n long, cls long, sketch array<long>"), "sketches")
@@ -200,27 +216,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     discard(full)
     edges = _links(classes, rows)
     discard(classes)
-    # a repeated doc_id links the classes of its texts
-    ends = named.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a < b").select("doc_id", "a")
-    same = named.join(ends, "doc_id").select("a", F.col("cls").alias("b"))
-    found = components(edges.unionByName(same), "a", "b")
+    if by_id:
+        ends = named.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a < b").select("doc_id", "a")
+        same = named.join(stored(ends, "ids"), "doc_id").select("a", F.col("cls").alias("b"))
+        edges = edges.unionByName(same)
+    found = components(edges, "a", "b")
     part = reps.join(found, reps.cls == found.node, "left").select("cls", "rep", F.coalesce("component", "cls").alias("part"))
-    least = part.groupBy("part").agg(F.min("rep").alias("component_id"))
-    label = part.join(least, "part").select(F.col("cls").alias("_cls"), "component_id")
-    joined = signs.join(label, signs.cls == label["_cls"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return joined.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
-    )
+    part = stored(part, "parts")
+    first = stored(part.groupBy("part").agg(F.min(F.struct("rep", "cls")).alias("first")), "firsts")
+    return signs, part.join(first, "part").select("cls", "rep", "first")
 
 
 def _links(classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between classes that connect all that the similarity connects."""
     lists = _lists(classes)
-    many = lists.groupBy("value").count().where("count > 1").select("value")
-    lists = stored(lists.join(many, "value", "left_semi"), "lists")
-    head = lists.groupBy("value").agg(F.min(F.struct("place", "n", "cls")).alias("h"))
+    # stored before they are joined, so that Spark can split a hot value
+    many = stored(lists.groupBy("value").count().where("count > 1").select("value"), "many")
+    entries, lists = lists, stored(lists.join(many, "value", "left_semi"), "lists")
+    discard(entries)
+    head = stored(lists.groupBy("value").agg(F.min(F.struct("place", "n", "cls")).alias("h")), "heads")
     star = lists.join(head, "value").select(F.struct("place", "n", "cls").alias("x"), "h").where("h.cls != x.cls")
     star = star.where(_possible("h", "x"))
     pairs = star.select(F.least("h.cls", "x.cls").alias("a"), F.greatest("h.cls", "x.cls").alias("b")).distinct()
@@ -245,17 +259,31 @@ def _links(classes: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, one row for a repeated doc_id, all columns as they were.
+    """One row of ``docs`` for each group of near-duplicate texts, all columns as they were: that with the smallest doc_id.
 
-    Only rows that may be dropped or repeated are joined; the texts of all others are not shuffled.
+    Texts are judged, not ids: rows that share a doc_id stay if their texts belong to
+    different groups. Of rows with one doc_id and shingle set (the empty set, too) one
+    stays, a null text only if there is no other. Only rows that may be dropped or
+    repeated are joined; the texts of all others are not shuffled.
     """
-    labels = stored(near_duplicates(docs).where("doc_id is not null"), "components")
-    counts = labels.groupBy("doc_id").agg(F.first("kept").alias("kept"), F.count("*").alias("rows"))
-    marked = stored(counts.where("not kept or rows > 1").select("doc_id", "kept"), "marked")
+    signs, label = _labelled(docs, by_id=False)
+    keeper = label.select("cls", F.col("first.rep").alias("rep"), (F.col("first.cls") == F.col("cls")).alias("leads"))
+    counts = signs.where("doc_id is not null").groupBy("doc_id", "cls").agg(F.count("*").alias("rows"))
+    stays = F.coalesce(F.col("leads") & (F.col("doc_id") == F.col("rep")), F.lit(True))
+    marked = counts.join(keeper, "cls", "left").select("doc_id", "cls", "rows", stays.alias("stays"))
+    marked = stored(marked.where("not stays or rows > 1"), "marked")
     maybe, sure = parted(docs, marked.select("doc_id"))
-    mark = marked.select(F.col("doc_id").alias("marked"), F.col("kept").alias("stays"))
-    rows = maybe.select(F.struct(*maybe.columns).alias("row"), F.col("doc_id").cast("long").alias("id"))
-    rows = rows.join(mark, F.col("id") == F.col("marked"), "left").where(F.coalesce("stays", F.lit(True)))
-    order = Window.partitionBy("id").orderBy("row.text")
-    first = rows.withColumn("place", F.row_number().over(order)).where("place = 1")
-    return sure.unionByName(first.select("row.*"))
+    at, width = text_column(docs), len(docs.columns)
+    cls, place, lost_id, lost = (fresh(name, docs.columns) for name in ("cls", "place", "lost_id", "lost"))
+
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, at):
+            names = pa.array([_name(own) for own in shingle_sets(batch.column(at))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], names], [*batch.schema.names, cls])
+
+    named = maybe.mapInArrow(classed, T.StructType([*docs.schema.fields, T.StructField(cls, T.LongType())]))
+    dropped = marked.where("not stays").select(F.col("doc_id").alias(lost_id), F.col("cls").alias(lost))
+    rows = named.join(dropped, (F.col("doc_id").cast("long") == F.col(lost_id)) & (F.col(cls) == F.col(lost)), "left_anti")
+    order = Window.partitionBy(F.col("doc_id").cast("long"), cls).orderBy(F.asc_nulls_last("text"))
+    first = rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    return sure.unionByName(first.select(*docs.columns))

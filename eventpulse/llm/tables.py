@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 
 from eventpulse.session import work_dir
 
-#: Rows per Arrow batch; a batch of usual texts is a few MB.
-BATCH_ROWS = 1000
+#: Rows per Arrow batch; a batch of usual texts is about a MB.
+BATCH_ROWS = 250
+#: Bytes of an Arrow batch, for long texts; a row may be longer.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small, so that a worker holds few texts at a time."""
+    """Keep Arrow batches of this session small, so that a worker holds few texts at a time.
+
+    It holds for the session's later queries, too, since results are computed after the call.
+    """
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set(BATCH_BYTES, "4m")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -36,6 +42,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_column(docs: DataFrame, name: str = "text") -> int:
+    """Place of the text among the columns; it must be a string."""
+    at = [column.lower() for column in docs.columns].index(name)
+    if docs.schema[at].dataType.typeName() != "string":
+        raise TypeError(f"{name} must be a string")
+    return at
+
+
 #: Bits of the largest sieve: 16 MB, whatever the input.
 SIEVE_BITS = 1 << 27
 
@@ -117,8 +131,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node of an edge: the smallest node reachable.
 
     Alternating large-star and small-star rounds: each links a node's neighbours
-    to its smallest neighbour. Both are aggregates and joins on the node, so a hub
-    is combined before the shuffle and split by the skew join after it. Rounds grow
+    to its smallest neighbour. Both are aggregates and joins on the node: a hub is
+    combined before the shuffle, and the aggregate is stored before the join, so that
+    Spark can split the hub there. Rounds grow
     with the logarithm of the longest path. Null ends are ignored; no edges, no rows.
     """
     pair = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -127,9 +142,10 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = stored(low, "low")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large, "edges")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))

@@ -52,7 +52,11 @@ def test_near_duplicates_odd_rows(spark, texts):
     assert got == [(0, 0, True), (1, 1, True), (1, 1, True), (2, 1, False), (2, 1, False), (40, 1, False)]
     kept = near_dedup.one_of_each(frame(spark, rows))
     assert kept.columns == frame(spark, rows).columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1]
+    # each group of texts keeps one, so the other text of 2 stays for 40 as well
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, texts[0][1]), (1, texts[0][1]), (2, "quite another text of seven words")])
+    apart = [(1, "a b c d e f g"), (1, "quite another text of seven words"), (1, None), (1, ""), (2, None), (2, None), (3, " "), (None, None), (None, None)]
+    kept = near_dedup.one_of_each(frame(spark, apart)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([apart[0], apart[1], (1, ""), (2, None), (3, " "), (None, None), (None, None)], key=str)
 
 
 def test_group_of_near_copies_and_common_passage(spark):
@@ -135,9 +139,24 @@ def test_each_row_is_judged_by_its_own_text(spark):
 
 def test_contamination_in_blocks(spark, texts, monkeypatch):
     items = [(k, " ".join(words(k, 200)[k : k + 30])) for k in range(1, 9)]
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)
-    got = decontaminate.matches(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
-    assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got) == sorted(plain.contamination(texts, items))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = {r.doc_id: r.longest for r in decontaminate.matches(frame(spark, texts), bench).collect()}
+    for passes in (1 << 20, 70):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)
+        monkeypatch.setattr(decontaminate, "PASS_WORDS", passes)
+        assert len(list(decontaminate._passes(bench))) == (1 if passes > 70 else 2)
+        got = decontaminate.matches(frame(spark, texts), bench).collect()
+        want = sorted(plain.contamination(texts, items))
+        assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got) == want
+        assert {r.doc_id: r.longest for r in got} == whole
+        assert {r.doc_id for r in decontaminate.clean(frame(spark, texts), bench).collect()} == {i for i, _, hit, _ in want if not hit}
+
+
+def test_match_of_one_word(spark):
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"), (2, "solo")], "item_id long, text string")
+    rows = [(1, "some text with gamma in it"), (2, "nothing"), (3, "alpha gamma beta gamma delta"), (4, "kappa solo")]
+    got = {r.doc_id: (r.longest, r.longest_item, r.longest_at) for r in decontaminate.matches(frame(spark, rows), bench).collect()}
+    assert got == {1: (1, "1", 3), 2: (0, None, None), 3: (3, "1", 2), 4: (1, "1", 0)}
 
 
 SECRETS = [
