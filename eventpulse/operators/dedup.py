@@ -27,6 +27,30 @@ def dedup_stream(df: DataFrame, delay: str, key: str = "event_id", time: str = "
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def dedup_recent(
+    df: DataFrame,
+    gap: str,
+    delay: str | None = None,
+    key: str = "event_id",
+    time: str = "kafka_timestamp",
+    order: tuple[str, ...] = LOG_ORDER,
+) -> DataFrame:
+    """An id is remembered until ``gap`` has passed since its last arrival, and a hit refreshes it.
+
+    Arrivals of an id that follow each other within ``gap`` are one session window; its
+    first arrival goes through, with their number as ``arrivals``. On a stream ``delay``
+    is the watermark: a session is passed on once the watermark is behind its end, and
+    then leaves the state; until then it is one row of the state store, however often
+    the id arrives. Rows behind the watermark are dropped.
+    """
+    timed = df.withWatermark(time, delay) if delay else df
+    place = F.struct(time, *order)
+    sessions = timed.groupBy(key, F.session_window(time, gap)).agg(
+        F.min_by(F.struct(*df.columns), place).alias("first"), F.count("*").alias("arrivals")
+    )
+    return sessions.select("first.*", "arrivals")
+
+
 def drop_seen(batch: DataFrame, stored: DataFrame, key: str = "event_id", keys: DataFrame | None = None) -> DataFrame:
     """D3: the rows of the batch whose key is not stored yet.
 

@@ -8,23 +8,34 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from eventpulse.functions import at_rest
 from eventpulse.operators import canonical, dedup, dims, enrich, metrics, parse, quality, rollups
-from eventpulse.plans import dashboards, fixtures
+from eventpulse.plans import dashboards, fixtures, leaders
 from eventpulse.plans.lake import Lake
+from eventpulse.plans.pending import PendingOrphans
 from eventpulse.plans.refresh import all_rollups, publish_rollups
-from eventpulse.schemas import FACT_COLUMNS, PRIMARY_KEYS
+from eventpulse.schemas import FACT_COLUMNS, PRIMARY_KEYS, REPOS
 from eventpulse.session import pin_utc, work_dir
+from eventpulse.sinks.buckets import BucketedTable
+from eventpulse.sinks.clustered import ClusteredTable
+from eventpulse.sinks.keyindex import KeyIndex
+from eventpulse.sinks.tables import BatchTable
 from eventpulse.sources.landed import explode_responses
 from eventpulse.sources.log import read_log_files
 from eventpulse.sources.scans import scan_range
 from eventpulse.streaming.ingest import start_ingest
 from eventpulse.streaming.live import current_minutes, minute_table, start_live_minutes
+from eventpulse.streaming.progress import ProgressLog
+from eventpulse.streaming.recent import start_recent
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime(2024, 2, 1)
 MICRO_BATCH_BYTES = 256 * 2**30
+# So that the test tables have several files of stored ids.
+SMALL_FILES = 4096
 
 
 def _fact(spark: SparkSession, sf_dir: str, repo: bool = True) -> DataFrame:
@@ -98,6 +109,16 @@ def dim_repos_upsert(spark, sf_dir):
     return dims.upsert_dim(old, new, "repo_id").select(REPO_COLUMNS)
 
 
+def dim_upserts(spark, sf_dir):
+    """M1: five batches by time, the third one repeated and the fourth late, into a bucketed table."""
+    facts = _with_url(_fact(spark, sf_dir))
+    table = BucketedTable(spark, work_dir(spark, "dim_upserts"), REPOS, "repo_id", buckets=32)
+    turns = [None, *(datetime(2024, 1, day) for day in (8, 14, 20, 26)), None]
+    for k in (0, 1, 2, 2, 4, 3):
+        table.upsert(dims.build_repos(scan_range(facts, turns[k], turns[k + 1])), dims.upsert_dim)
+    return table.read().select(REPO_COLUMNS)
+
+
 def events_normalized(spark, sf_dir):
     events = fixtures.with_repo(fixtures.source(pin_utc(spark), sf_dir)).select(
         F.col("event_id").cast("string").alias("event_id"), "event_type", "repo_id",
@@ -167,12 +188,12 @@ def rollup_refresh(spark, sf_dir):
     lake = Lake(pin_utc(spark), work_dir(spark, "rollup_refresh"))
     publish_rollups(lake, _fact(spark, sf_dir), AS_OF)
     sums = [
-        table.read().agg(
+        table.agg(
             F.lit(name).alias("rollup"),
             F.count("*").alias("key_count"),
             F.sum("event_count").alias("event_total"),
         )
-        for name, table in lake.rollups.items()
+        for name, table in lake.rollup_set.read().items()
     ]
     return reduce(DataFrame.union, sums)
 
@@ -190,6 +211,37 @@ def incremental_rollup(spark, sf_dir):
     return lake.totals("repo_activity")
 
 
+def live_top10(spark, sf_dir):
+    """T-2, W3: the leaderboard as of the last of seven batches by time, from levels of their partial counts."""
+    facts = _fact(spark, sf_dir)
+    lake = Lake(spark, work_dir(spark, "live_top10"))
+    days = [None, *(datetime(2024, 1, day) for day in (5, 9, 13, 17, 21, 26)), None]
+    for batch_id in range(7):
+        batch = scan_range(facts, days[batch_id], days[batch_id + 1])
+        lake.partials.write(rollups.partial_counts(batch), batch_id)
+        if batch_id in (2, 5):
+            lake.partials.compact()
+            leaders.index_leaders(lake, ("repo_activity",))
+    return leaders.live_leaders(lake, "repo_activity", 10)
+
+
+def clustered_lookups(spark, sf_dir):
+    """M4, M5: the declared lookups, by repository, actor, type and time, on one layout."""
+    facts = _fact(spark, sf_dir)
+    columns = ["repo_name", "actor_login", "event_type", "event_created_at"]
+    table = ClusteredTable(spark, work_dir(spark, "clustered_lookups"), facts.schema, columns, file_rows=SMALL_FILES // 16)
+    table.publish(facts)
+    asked = {
+        "repo": {"repo_name": "org5/repo5"},
+        "actor": {"actor_login": "user12"},
+        "type": {"event_type": "click"},
+        "time": {"start": datetime(2024, 1, 10), "end": datetime(2024, 1, 11)},
+        "repo_time": {"repo_name": "org6/repo13", "start": datetime(2024, 1, 5), "end": datetime(2024, 1, 25)},
+    }
+    found = [table.lookup(**values).select(F.lit(name).alias("lookup"), "event_id", *columns) for name, values in asked.items()]
+    return reduce(DataFrame.unionAll, found)
+
+
 def stream_ingest_fact(spark, sf_dir):
     """The log lands in two waves, events and then redeliveries; the second run
     resumes from the checkpoint and meets stored events."""
@@ -204,6 +256,78 @@ def stream_ingest_fact(spark, sf_dir):
     return lake.fact.read().select(FACT_COLUMNS)
 
 
+def dedup_shuffled_ids(spark, sf_dir):
+    """D3, K6: five batches of ids without any order, one of them repeated, through the index of stored keys."""
+    rows = fixtures.shuffled(fixtures.redelivered(_fact(spark, sf_dir, repo=False)))
+    root = work_dir(spark, "dedup_shuffled_ids")
+    index = KeyIndex(spark, f"{root}/keys", file_keys=SMALL_FILES, fan=2)
+    columns = ["event_id", "batch", "kafka_partition", "kafka_offset"]
+    table = BatchTable(spark, f"{root}/rows", rows.select(columns).schema)
+    for batch_id in (0, 1, 1, 2, 3, 4):
+        batch = rows.select(columns).where(F.col("batch") == batch_id)
+        known = index.near(batch, upto=batch_id - 1)
+        table.write(dedup.drop_seen(dedup.dedup_batch(batch), known, keys=batch), batch_id)
+        index.write(table.read_batch(batch_id), batch_id)
+        index.compact()
+    return table.read()
+
+
+def stream_dedup_recent(spark, sf_dir):
+    """Bursts of an id over the file stream, whose first half ends in the middle of some; resumed from the checkpoint."""
+    root = work_dir(pin_utc(spark), "stream_dedup_recent")
+    rows = fixtures.bursts(_fact(spark, sf_dir, repo=False))
+    schema = T.StructType([*at_rest(rows).schema.fields, T.StructField("arrivals", T.LongType())])
+    table = BatchTable(spark, f"{root}/recent", schema)
+    turn = F.lit(datetime(2024, 1, 16))
+    late = F.col("kafka_timestamp") >= turn
+    for wave in (rows.where(~late), rows.where(late)):
+        wave.write.mode("append").parquet(f"{root}/log")
+        log = spark.readStream.schema(rows.schema).parquet(f"{root}/log")
+        query = start_recent(
+            log, table, f"{root}/checkpoint", "30 minutes", "10 minutes", state_partitions=spark.sparkContext.defaultParallelism
+        )
+        query.awaitTermination()
+    return table.read()
+
+
+def late_dimensions(spark, sf_dir):
+    """Two waves of events and a third with dimension rows alone; every wave is repeated."""
+    facts = _fact(spark, sf_dir).select("event_id", "event_created_at", "repo_id", "actor_id")
+    turn = datetime(2024, 1, 16)
+    repos, actors = facts.select("repo_id").distinct(), facts.select("actor_id").distinct()
+    waves = [
+        (scan_range(facts, end=turn), repos.where("repo_id % 5 <> 4"), actors.where("actor_id % 10 <> 3")),
+        (scan_range(facts, start=turn), repos.where("repo_id % 10 = 4"), actors.limit(0)),
+        (facts.limit(0), repos.limit(0), actors.where("actor_id % 20 = 3")),
+    ]
+    pending = PendingOrphans(spark, work_dir(spark, "late_dimensions"), {"repos": "repo_id", "actors": "actor_id"})
+    for batch_id in (0, 1, 1, 2, 2):
+        events, new_repos, new_actors = waves[batch_id]
+        pending.write(events, {"repos": new_repos, "actors": new_actors}, batch_id)
+        pending.compact()
+    return pending.history()
+
+
+def stream_progress(spark, sf_dir):
+    """What the log tells of an ingest in two runs, after both have ended."""
+    root = work_dir(pin_utc(spark), "stream_progress")
+    lake, log = Lake(spark, f"{root}/lake"), ProgressLog(spark, f"{root}/progress")
+    messages = _messages(spark, sf_dir)
+    again = F.col("kafka_partition") == 1
+    spark.streams.addListener(log)
+    try:
+        for wave in (messages.where(~again), messages.where(again)):
+            fixtures.envelopes(wave).write.mode("append").parquet(f"{root}/log")
+            landed = read_log_files(spark, f"{root}/log", max_bytes_per_trigger=MICRO_BATCH_BYTES)
+            query = start_ingest(landed, lake, f"{root}/checkpoint")
+            query.awaitTermination()
+            log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+    counters = [F.col("counters")[name].alias(name) for name in ("fetched", "invalid", "errors", "passed")]
+    return log.read().select("batch_id", "input_rows", *counters)
+
+
 def stream_minute(spark, sf_dir):
     root = work_dir(pin_utc(spark), "stream_minute")
     events = fixtures.source_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("event_created_at"))
@@ -236,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "dim_repos": dim_repos,
     "dim_actors": lambda s, d: dims.build_actors(_fact(s, d, repo=False)).select("actor_id", "login"),
     "dim_repos_upsert": dim_repos_upsert,
+    "dim_upserts": dim_upserts,
     "dim_repos_from_messages": dim_repos_from_messages,
     "events_normalized": events_normalized,
     "events_from_messages": events_from_messages,
@@ -251,6 +376,12 @@ QUERIES: dict[str, Query] = {
     "key_checks": key_checks,
     "rollup_refresh": rollup_refresh,
     "incremental_rollup": incremental_rollup,
+    "live_top10": live_top10,
+    "clustered_lookups": clustered_lookups,
     "stream_ingest_fact": stream_ingest_fact,
     "stream_minute": stream_minute,
+    "stream_progress": stream_progress,
+    "dedup_shuffled_ids": dedup_shuffled_ids,
+    "stream_dedup_recent": stream_dedup_recent,
+    "late_dimensions": late_dimensions,
 }

@@ -74,6 +74,24 @@ def redelivered(facts: DataFrame) -> DataFrame:
     return facts.withColumn("n", n).withColumn("kafka_partition", F.explode(places))
 
 
+def shuffled(messages: DataFrame) -> DataFrame:
+    """RED with ids in no order, dealt to five batches; a copy may come before its original."""
+    batch = F.when(F.col("kafka_partition") == 0, F.col("n") % 4).otherwise(F.floor(F.col("n") / 10) % 5)
+    return messages.withColumns({"event_id": F.md5(F.col("event_id").cast("binary")), "batch": batch.cast("int")})
+
+
+def bursts(facts: DataFrame) -> DataFrame:
+    """Every tenth event arrives three times, up to two hours apart; the partition numbers its arrivals."""
+    n = F.col("kafka_offset")
+    second = n % 7 * 10
+    minutes = F.when(n % 10 == 0, F.array(F.lit(0), second, second + F.floor(n / 10) % 5 * 15)).otherwise(F.array(F.lit(0)))
+    late = F.col("kafka_timestamp") + F.make_dt_interval(mins=F.col("minutes").cast("int"))
+    arrived = facts.select("*", F.posexplode(minutes).alias("arrival", "minutes"))
+    return arrived.select(
+        "event_id", F.col("arrival").alias("kafka_partition"), "kafka_offset", late.cast("timestamp").alias("kafka_timestamp")
+    )
+
+
 def _iso(time: str) -> Column:
     return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 

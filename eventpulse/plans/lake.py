@@ -7,8 +7,10 @@ from pyspark.sql import types as T
 
 from eventpulse import schemas
 from eventpulse.operators.rollups import add_up, rollup_totals
+from eventpulse.sinks.buckets import BUCKETS, BucketedTable
 from eventpulse.sinks.files import first_text
-from eventpulse.sinks.tables import BatchTable, VersionedTable
+from eventpulse.sinks.keyindex import KeyIndex
+from eventpulse.sinks.tables import BatchTable, TableSet, VersionedTable
 
 ENRICHED = [T.StructField("repo_owner", T.StringType()), T.StructField("repo_short_name", T.StringType())]
 
@@ -19,9 +21,6 @@ LOOKUPS = {
     for setting in ("adaptive.enabled", "enabled#event_id", "enabled#actor_login")
 }
 
-# Small row groups of sorted ids, so that a batch skips those outside its own range.
-KEY_GROUPS = {"parquet.block.size": str(8 * 2**20)}
-
 
 ROLLUPS = {
     "minute": schemas.MINUTE,
@@ -38,7 +37,7 @@ def _fields(schema: T.StructType, *extra: T.StructField) -> T.StructType:
 class Lake:
     """Quarantine, fact and its ids (silver), rollups by batch and by version, dimensions (gold)."""
 
-    def __init__(self, spark: SparkSession, root: str, enrich: bool = False):
+    def __init__(self, spark: SparkSession, root: str, enrich: bool = False, dim_buckets: int = BUCKETS):
         self.spark, self.root, self.enrich = spark, root, enrich
         date = T.StructField("event_date", T.DateType())
         self.fact = BatchTable(
@@ -49,9 +48,7 @@ class Lake:
             sort_by=["repo_id", "event_created_at"],
             compact_options=LOOKUPS,
         )
-        self.keys = BatchTable(
-            spark, f"{root}/keys", schemas.KEYS, sort_by=["event_id"], compact_options=KEY_GROUPS
-        )
+        self.keys = KeyIndex(spark, f"{root}/keys")
         self.quarantine = BatchTable(spark, f"{root}/quarantine", schemas.QUARANTINE)
         self.metrics = BatchTable(spark, f"{root}/metrics", schemas.INGEST_METRICS)
         self.partials = BatchTable(
@@ -61,8 +58,10 @@ class Lake:
             name: VersionedTable(spark, f"{root}/rollups/{name}", schema)
             for name, schema in ROLLUPS.items()
         }
-        self.repos = VersionedTable(spark, f"{root}/dims/repos", schemas.REPOS)
-        self.actors = VersionedTable(spark, f"{root}/dims/actors", schemas.ACTORS)
+        self.repos = BucketedTable(spark, f"{root}/dims/repos", schemas.REPOS, "repo_id", dim_buckets)
+        self.actors = BucketedTable(spark, f"{root}/dims/actors", schemas.ACTORS, "actor_id", dim_buckets)
+        self.rollup_set = TableSet(spark, f"{root}/rollups", self.rollups)
+        self.dim_set = TableSet(spark, f"{root}/dims", {"repos": self.repos, "actors": self.actors})
 
     def totals(self, name: str, upto: int | None = None) -> DataFrame:
         """The incremental form of a rollup, all batches added up."""
@@ -88,7 +87,7 @@ class Lake:
             row = self.spark.createDataFrame([(stream,)], "value string").coalesce(1)
             row.write.mode("overwrite").text(f"{self.root}/stream")
 
-    def _batch_tables(self) -> tuple[BatchTable, ...]:
+    def _batch_tables(self) -> tuple[BatchTable | KeyIndex, ...]:
         return self.fact, self.keys, self.quarantine, self.partials, self.metrics
 
     def compact(self) -> None:
@@ -98,5 +97,5 @@ class Lake:
 
     def expire(self) -> None:
         """Delete what compactions and later versions have replaced."""
-        for table in (*self._batch_tables(), *self.rollups.values(), self.repos, self.actors):
+        for table in (*self._batch_tables(), self.rollup_set, self.dim_set):
             table.expire()

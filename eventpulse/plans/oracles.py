@@ -110,6 +110,7 @@ ORACLES = {
     "dim_repos": REPOS,
     "dim_actors": ACTORS,
     "dim_repos_upsert": REPOS,
+    "dim_upserts": REPOS,
     "events_normalized": f"""{G} SELECT event_id, event_type, repo_id, actor_id,
       event_created_at AS created_at, repo_id AS payload_k FROM g""",
     "events_from_messages": f"""{G} SELECT event_id, event_type,
@@ -145,4 +146,44 @@ ORACLES = {
     "incremental_rollup": REPO_ACTIVITY,
     "stream_ingest_fact": FIRST,
     "stream_minute": MINUTES,
+    "dedup_shuffled_ids": f"""{RED}, m AS (
+      SELECT md5(event_id) AS event_id, kafka_partition, kafka_offset,
+        CAST(CASE WHEN kafka_partition = 0 THEN n % 4 ELSE n // 10 % 5 END AS INTEGER) AS batch FROM red)
+      SELECT event_id, batch, kafka_partition, kafka_offset FROM m
+      QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY batch, kafka_partition, kafka_offset) = 1""",
+    "stream_dedup_recent": f"""{G}, a AS (
+      SELECT event_id, kafka_offset, CAST(i - 1 AS INTEGER) AS kafka_partition,
+        kafka_timestamp + to_minutes(CASE i WHEN 1 THEN 0 WHEN 2 THEN n % 7 * 10 ELSE n % 7 * 10 + n // 10 % 5 * 15 END) AS t
+      FROM g, unnest(CASE WHEN n % 10 = 0 THEN [1, 2, 3] ELSE [1] END) AS u(i)),
+      s AS (SELECT *, t - lag(t) OVER w > INTERVAL 30 MINUTE AS starts FROM a
+            WINDOW w AS (PARTITION BY event_id ORDER BY t, kafka_partition)),
+      p AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY event_id ORDER BY t, kafka_partition) AS part FROM s)
+      SELECT event_id, arg_min(kafka_partition, (t, kafka_partition)) AS kafka_partition, kafka_offset,
+        min(t) AS kafka_timestamp, count(*) AS arrivals
+      FROM p GROUP BY event_id, kafka_offset, part
+      HAVING max(t) + INTERVAL 30 MINUTE <= (SELECT date_trunc('millisecond', max(t)) - INTERVAL 10 MINUTE FROM a)""",
+    "late_dimensions": f"""{G}, r AS (
+      SELECT 'repos' AS dim, repo_id AS id, event_id, event_created_at AS t,
+        CASE WHEN repo_id % 5 <> 4 THEN 0 WHEN repo_id % 10 = 4 THEN 1 END AS came FROM g
+      UNION ALL SELECT 'actors', actor_id, event_id, event_created_at,
+        CASE WHEN actor_id % 10 <> 3 THEN 0 WHEN actor_id % 20 = 3 THEN 2 END FROM g),
+      w AS (SELECT *, CASE WHEN t < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS wave FROM r)
+      SELECT dim, id, event_id, CAST(wave AS BIGINT) AS since, CAST(came AS BIGINT) AS settled
+      FROM w WHERE came IS NULL OR came > wave""",
+    "stream_progress": f"""{RED} SELECT CAST(kafka_partition AS BIGINT) AS batch_id, count(*) AS input_rows, count(*) AS fetched,
+      count(*) FILTER (WHERE status IN ('malformed', 'missing_required')) AS invalid,
+      count(*) FILTER (WHERE status = 'null_required') AS errors,
+      count(*) FILTER (WHERE status IN ('ok', 'bad_timestamp')) AS passed
+      FROM red GROUP BY kafka_partition""",
+    "live_top10": _top("repo_name"),
+    "clustered_lookups": "\n UNION ALL ".join(
+        f"SELECT '{name}' AS lookup, event_id, repo_name, actor_login, event_type, event_created_at FROM ({G} SELECT * FROM g) WHERE {asked}"
+        for name, asked in {
+            "repo": "repo_name = 'org5/repo5'",
+            "actor": "actor_login = 'user12'",
+            "type": "event_type = 'click'",
+            "time": "event_created_at >= TIMESTAMP '2024-01-10' AND event_created_at < TIMESTAMP '2024-01-11'",
+            "repo_time": "repo_name = 'org6/repo13' AND event_created_at >= TIMESTAMP '2024-01-05' AND event_created_at < TIMESTAMP '2024-01-25'",
+        }.items()
+    ),
 }

@@ -28,9 +28,8 @@ def all_rollups(fact: DataFrame, as_of: datetime) -> dict[str, DataFrame]:
 
 
 def publish_rollups(lake: Lake, fact: DataFrame, as_of: datetime | None = None) -> dict[str, int]:
-    """A new version of every rollup, all with the same stamp."""
-    tables = all_rollups(fact, as_of or run_time(lake.spark))
-    return {name: lake.rollups[name].publish(df) for name, df in tables.items()}
+    """A new version of every rollup, all with the same stamp, which readers of ``lake.rollup_set`` see together."""
+    return lake.rollup_set.publish(all_rollups(fact, as_of or run_time(lake.spark)))
 
 
 def refresh_rollups(lake: Lake, upto: int | None = None, as_of: datetime | None = None) -> dict[str, int]:
@@ -61,12 +60,15 @@ def refresh_rollups_jdbc(
         columns.unpersist()
 
 
-def refresh_dims(lake: Lake, batch_id: int | None = None, side: DataFrame | None = None) -> None:
-    """M1, M2: publish dimensions rebuilt from the whole fact table, or upserted with one batch."""
+def refresh_dims(lake: Lake, batch_id: int | None = None, side: DataFrame | None = None) -> dict[str, int]:
+    """M1, M2: publish dimensions rebuilt from the whole fact table, or upserted with one batch.
+
+    An upsert rewrites the buckets that the batch changes. Either way readers of
+    ``lake.dim_set`` see both dimensions change together.
+    """
     events = lake.fact.read() if batch_id is None else lake.fact.read_batch(batch_id)
-    repos, actors = build_repos(events, side), build_actors(events)
-    if batch_id is not None:
-        repos = upsert_dim(lake.repos.read(), repos, "repo_id")
-        actors = upsert_dim(lake.actors.read(), actors, "actor_id")
-    lake.repos.publish(repos)
-    lake.actors.publish(actors)
+    frames = {"repos": build_repos(events, side), "actors": build_actors(events)}
+    if batch_id is None:
+        return lake.dim_set.publish(frames)
+    base = lake.dim_set.versions()
+    return lake.dim_set.commit({name: lake.dim_set.tables[name].upsert(df, upsert_dim, base.get(name)) for name, df in frames.items()})

@@ -61,9 +61,6 @@ FACT = _struct(
     ("kafka_timestamp", _NTZ),
 )
 
-# The ids of the fact table alone, which each batch is compared with.
-KEYS = _struct(("event_id", _S))
-
 QUARANTINE = _struct(
     ("status", _S),
     ("json", _S),

@@ -7,7 +7,8 @@ converges, and a reader never sees half a batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from pyspark.sql import types as T
 
 from eventpulse.sinks.files import committed, numbered, remove
 
+if TYPE_CHECKING:
+    from eventpulse.sinks.buckets import BucketedTable
+
 
 def _arranged(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
     """Rows gathered by partition value and sorted within, for few files with tight statistics.
@@ -91,6 +95,19 @@ class BatchTable:
         base = self._batches
         return _read_paths(self.spark, base, [f"{base}/batch_id={batch_id}"], self.schema)
 
+    def read_compaction(self, upto: int) -> DataFrame:
+        """Rows of one compaction: of the batches since the one before."""
+        base = self._compacted
+        return _read_paths(self.spark, base, [f"{base}/upto={upto}"], self.schema)
+
+    def read_after(self, batch_id: int, upto: int | None = None) -> DataFrame:
+        """Rows of the committed batches after one, all or up to another."""
+        base = self._batches
+        fresh = [n for n in self.batches() if n > batch_id and (upto is None or n <= upto)]
+        if not fresh:
+            return self.spark.createDataFrame([], self.schema)
+        return _read_paths(self.spark, base, [f"{base}/batch_id={n}" for n in fresh], self.schema)
+
     def read(self, upto: int | None = None) -> DataFrame:
         """Rows of all committed batches, or of those up to ``upto``: a fixed snapshot.
 
@@ -129,6 +146,12 @@ class BatchTable:
         self._write(merged, f"{self._compacted}/upto={fresh[-1]}", **self.compact_options)
         return fresh[-1]
 
+    def forget(self, upto: int) -> None:
+        """Delete the batches up to one, when another table holds what is still needed of them."""
+        for n in numbered(self.spark, self._batches, "batch_id"):
+            if n <= upto:
+                remove(self.spark, f"{self._batches}/batch_id={n}")
+
     def expire(self) -> None:
         """Delete batches that a compaction replaced, except the newest compaction's:
         readers that began before it may still hold them."""
@@ -139,7 +162,10 @@ class BatchTable:
 
 
 class VersionedTable:
-    """K2: a table refreshed as a whole; readers see the newest finished version."""
+    """K2: a table refreshed as a whole; readers see the newest finished version.
+
+    Tables that must agree belong into a TableSet.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark, self.path, self.schema = spark, path, schema
@@ -149,17 +175,79 @@ class VersionedTable:
         df.select(self.schema.fieldNames()).write.mode("errorifexists").parquet(f"{self.path}/version={version}")
         return version
 
-    def _finished(self) -> list[str]:
-        paths = [f"{self.path}/version={n}" for n in numbered(self.spark, self.path, "version")]
-        return [path for path in paths if committed(self.spark, path)]
+    def versions(self) -> list[int]:
+        """Finished versions."""
+        found = numbered(self.spark, self.path, "version")
+        return [n for n in found if committed(self.spark, f"{self.path}/version={n}")]
 
-    def read(self) -> DataFrame:
-        paths = self._finished()
-        if not paths:
+    def read(self, version: int | None = None) -> DataFrame:
+        """The newest finished version, or the one named."""
+        if version is None:
+            version = max(self.versions(), default=None)
+        if version is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(paths[-1])
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={version}")
+
+    def drop(self, version: int) -> None:
+        remove(self.spark, f"{self.path}/version={version}")
 
     def expire(self, keep: int = 2) -> None:
         """Delete all but the newest finished versions."""
-        for path in self._finished()[:-max(keep, 1)]:
-            remove(self.spark, path)
+        for version in self.versions()[:-max(keep, 1)]:
+            self.drop(version)
+
+
+class TableSet:
+    """K2: several versioned tables that are refreshed together.
+
+    The versions of one refresh are written first, then a manifest that names them
+    all. Readers take the versions of the newest finished manifest, so they see one
+    refresh or the one before, whenever a writer dies and however long it takes.
+    """
+
+    MANIFEST = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("version", T.IntegerType())])
+
+    def __init__(self, spark: SparkSession, path: str, tables: Mapping[str, VersionedTable | BucketedTable]):
+        self.spark, self.tables = spark, tables
+        self.manifest = VersionedTable(spark, f"{path}/manifest", self.MANIFEST)
+
+    def publish(self, frames: dict[str, DataFrame]) -> dict[str, int]:
+        self._complete(frames)
+        return self.commit({name: self.tables[name].publish(df) for name, df in frames.items()})
+
+    def _complete(self, named: Iterable[str]) -> None:
+        if set(named) != self.tables.keys():
+            raise ValueError(f"a refresh needs all of {sorted(self.tables)}")
+
+    def commit(self, versions: dict[str, int]) -> dict[str, int]:
+        """Let readers see these versions, which are finished already."""
+        self._complete(versions)
+        self.manifest.publish(self.spark.createDataFrame(list(versions.items()), self.MANIFEST).coalesce(1))
+        return versions
+
+    def versions(self, manifest: int | None = None) -> dict[str, int]:
+        """What a manifest names, by default the newest one; empty before the first refresh."""
+        return {row.table_name: row.version for row in self.manifest.read(manifest).collect()}
+
+    def read(self) -> dict[str, DataFrame]:
+        """All tables as of one refresh."""
+        versions = self.versions()
+        empty = self.spark.createDataFrame
+        return {name: table.read(versions[name]) if versions else empty([], table.schema) for name, table in self.tables.items()}
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete manifests but the newest, and versions that none of these names.
+
+        Versions newer than those of the newest manifest stay: a refresh may be writing them.
+        """
+        kept = self.manifest.versions()[-max(keep, 1):]
+        if not kept:
+            return
+        named = [self.versions(n) for n in kept]
+        for n in self.manifest.versions()[: -len(kept)]:
+            self.manifest.drop(n)
+        for name, table in self.tables.items():
+            used = {versions[name] for versions in named}
+            for version in numbered(self.spark, table.path, "version"):
+                if version < max(used) and version not in used:
+                    table.drop(version)

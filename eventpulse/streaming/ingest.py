@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventpulse.functions import at_rest, event_date
-from eventpulse.operators.dedup import first_unseen
+from eventpulse.operators.dedup import dedup_batch, drop_seen
 from eventpulse.operators.enrich import enrich_repo
 from eventpulse.operators.metrics import observed
 from eventpulse.operators.parse import classify, flatten, good_rows, project_envelope
@@ -35,7 +35,8 @@ def fact_writer(lake: Lake, compact_every: int | None = None) -> Callable[[DataF
     batches, so a repeated batch ends in the same state. Offsets are committed
     after it returns (D4). No row is dropped for being late (W5).
     ``compact_every`` batches, the ones before are merged. An id is stored once,
-    whatever date it comes with: its keys are compared, not its date partition.
+    whatever date it comes with: its keys are compared, not its date partition, with
+    those stored files whose sketches let one of them through.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -45,7 +46,8 @@ def fact_writer(lake: Lake, compact_every: int | None = None) -> Callable[[DataF
             lake.quarantine.write(rejected, batch_id)
 
             good = rows.where(F.col("status") == "ok").drop("status", "json")
-            fresh = first_unseen(good, lake.keys.read(upto=batch_id - 1))
+            known = lake.keys.near(good, upto=batch_id - 1)
+            fresh = drop_seen(dedup_batch(good), known, keys=good)
             lake.fact.write(enrich_repo(fresh) if lake.enrich else fresh, batch_id)
 
             written = lake.fact.read_batch(batch_id)

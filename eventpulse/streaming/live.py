@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventpulse.functions import at_rest
 from eventpulse.operators.rollups import EVENT_COUNT, events_per_minute
 from eventpulse.schemas import MINUTE
 from eventpulse.session import pin_utc
 from eventpulse.sinks.tables import BatchTable
 from eventpulse.streaming.ingest import ALL_AVAILABLE
-
-SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+from eventpulse.streaming.stateful import start_stateful
 
 
 def _newest(counts: DataFrame) -> DataFrame:
@@ -48,24 +46,11 @@ def start_live_minutes(
 ) -> StreamingQuery:
     """``update`` writes the minutes each batch changed; ``append`` only final ones.
 
-    The state is small, and every batch commits each of its partitions.
-    ``state_partitions`` sets their number for a new checkpoint, by default the
-    session's shuffle partitions; a restart keeps what the checkpoint has.
+    ``state_partitions`` is that of start_stateful().
     """
-    spark = pin_utc(events.sparkSession)
-    partitions = spark.conf.get(SHUFFLE_PARTITIONS)
-    writer = (
-        live_minutes(events, delay)
-        .writeStream.foreachBatch(lambda batch, batch_id: table.write(at_rest(batch), batch_id))
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-    )
-    spark.conf.set(SHUFFLE_PARTITIONS, str(state_partitions or partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, partitions)
+    pin_utc(events.sparkSession)
+    counts = live_minutes(events, delay)
+    return start_stateful(counts, table, checkpoint, mode, trigger, state_partitions)
 
 
 def current_minutes(table: BatchTable) -> DataFrame:
