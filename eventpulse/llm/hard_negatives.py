@@ -50,6 +50,7 @@ LEAF = 32
 LEAST, MOST = 50, 95
 #: Sums of products below this in absolute value surely fit 64 bits.
 SAFE = 2**62
+HEAP = ["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"]
 LONG = 2**63 - 1
 
 
@@ -137,6 +138,19 @@ def best(score: np.ndarray, allowed: np.ndarray, most: int) -> tuple[np.ndarray,
     return np.concatenate(rows), np.concatenate(columns)
 
 
+def merged(found: list[tuple[np.ndarray, ...]], most: int) -> list[np.ndarray]:
+    """Heaps of several pieces as one: rows of (owner..., score, other), the best ``most`` of each owner."""
+    *owner, score, other = (np.concatenate(column) for column in zip(*found, strict=True))
+    # ~x falls as x rises, and has no overflow
+    order = np.lexsort((other, ~score, *owner[::-1]))
+    columns = [column[order] for column in (*owner, score, other)]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([column[1:] != column[:-1] for column in columns[:-2]], axis=0)
+    first = np.flatnonzero(new)
+    place = np.arange(len(order)) - first[np.cumsum(new) - 1] if len(order) else order
+    return [column[place < most] for column in columns]
+
+
 def top(heaps: DataFrame, by: list[str], score: str, other: str, most: int, rank: str) -> DataFrame:
     """Heaps merged: the ``most`` best rows by ``by``; Spark cuts to them before and after its shuffle."""
     order = Window.partitionBy(*by).orderBy(F.desc(score), other)
@@ -160,21 +174,22 @@ def positive_tile(most: int) -> Callable[[pa.Table], pa.Table]:
         anchors, others = _split(tile)
         a, b = quantised(anchors["v"]), quantised(others["v"])
         ids, own = others["vec_id"].to_numpy(), anchors["vec_id"].to_numpy()
-        found = []
+        heaps = [(np.zeros(0, np.int64),) * 3]
         for x in _pieces(len(a)):
+            found = heaps[:1]
             for y in _pieces(len(b)):
                 score = scores(a[x], b[y])
                 i, j = best(score, own[x][:, None] != ids[y][None, :], most)
-                found.append((own[x][i], ids[y][j], score[i, j]))
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
-        return pa.table(dict(zip(("anchor_id", "positive_id", "positive_score"), columns, strict=True)))
+                found.append((own[x][i], score[i, j], ids[y][j]))
+                found = [merged(found, most)]
+            heaps += found
+        columns = [np.concatenate(c) for c in zip(*heaps, strict=True)]
+        return pa.table(dict(zip(("anchor_id", "positive_score", "positive_id"), columns, strict=True))).select(HEAP[:3])
 
     return mine
 
 
 def negative_tile(most: int) -> Callable[[pa.Table], pa.Table]:
-    names = ("anchor_id", "positive_id", "positive_score", "negative_id", "negative_score")
-
     def mine(tile: pa.Table) -> pa.Table:
         anchors, others = _split(tile)
         a, b = quantised(anchors["v"]), quantised(others["v"])
@@ -184,8 +199,9 @@ def negative_tile(most: int) -> Callable[[pa.Table], pa.Table]:
         left, right = label[: len(own)], label[len(own) :]
         lists = anchors["positives"].to_pylist()
         depth = max(map(len, lists), default=0)
-        found = []
+        heaps = [(np.zeros(0, np.int64),) * 5]
         for x in _pieces(len(a)):
+            found = heaps[:1]
             for y in _pieces(len(b)):
                 score = scores(a[x], b[y])
                 other = left[x][:, None] != right[y][None, :]
@@ -196,9 +212,12 @@ def negative_tile(most: int) -> Callable[[pa.Table], pa.Table]:
                     part = score[has]
                     i, j = best(part, other[has] & (part >= low[:, None]) & (part <= high[:, None]), most)
                     which = np.array([lists[x][r][k]["positive_id"] for r in has], np.int64)
-                    found.append((own[x][has[i]], which[i], p[i], ids[y][j], part[i, j]))
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
-        return pa.table(dict(zip(names, columns, strict=True)))
+                    found.append((own[x][has[i]], which[i], p[i], part[i, j], ids[y][j]))
+                found = [merged(found, most)]
+            heaps += found
+        columns = [np.concatenate(c) for c in zip(*heaps, strict=True)]
+        names = ("anchor_id", "positive_id", "positive_score", "negative_score", "negative_id")
+        return pa.table(dict(zip(names, columns, strict=True))).select(HEAP)
 
     return mine
 
