@@ -17,6 +17,15 @@ def project_envelope(log: DataFrame) -> DataFrame:
     )
 
 
+def spread(messages: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows dealt evenly to ``partitions`` tasks, for a source with fewer splits than cores; None leaves them.
+
+    Parsing is the dear step, so dealing out pays for a small number of large files that
+    Spark can't split. Large sources have splits enough.
+    """
+    return messages if partitions is None else messages.repartition(partitions)
+
+
 def parse_once(df: DataFrame, schema, json: str = "json") -> DataFrame:
     """The fields of the JSON text as columns, parsed once per row.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventpulse.functions import at_rest
-from eventpulse.operators import canonical, dedup, dims, enrich, metrics, parse, quality, rollups
+from eventpulse.operators import canonical, dedup, dims, enrich, metrics, parse, payloads, quality, rollups
 from eventpulse.plans import dashboards, fixtures, leaders
 from eventpulse.plans.lake import Lake
 from eventpulse.plans.pending import PendingOrphans
@@ -20,8 +20,10 @@ from eventpulse.schemas import FACT_COLUMNS, PRIMARY_KEYS, REPOS
 from eventpulse.session import pin_utc, work_dir
 from eventpulse.sinks.buckets import BucketedTable
 from eventpulse.sinks.clustered import ClusteredTable
+from eventpulse.sinks.keyaudit import KeyAudit
 from eventpulse.sinks.keyindex import KeyIndex
 from eventpulse.sinks.tables import BatchTable
+from eventpulse.sources.arrays import split_arrays
 from eventpulse.sources.landed import explode_responses
 from eventpulse.sources.log import read_log_files
 from eventpulse.sources.scans import scan_range
@@ -34,6 +36,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime(2024, 2, 1)
 MICRO_BATCH_BYTES = 256 * 2**30
+# Tasks that make and parse messages; None leaves it to the splits of the source's files.
+PARSE_PARTITIONS: int | None = None
 # So that the test tables have several files of stored ids.
 SMALL_FILES = 4096
 
@@ -42,13 +46,16 @@ def _fact(spark: SparkSession, sf_dir: str, repo: bool = True) -> DataFrame:
     return fixtures.fact(fixtures.source(pin_utc(spark), sf_dir), repo)
 
 
+def _spread_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.fact(parse.spread(fixtures.source(pin_utc(spark), sf_dir), PARSE_PARTITIONS))
+
+
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fixtures.source(pin_utc(spark), sf_dir)
-    return fixtures.raw_messages(fixtures.redelivered(fixtures.fact(events)))
+    return fixtures.raw_messages(fixtures.redelivered(_spread_fact(spark, sf_dir)))
 
 
 def _loose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.loose_messages(fixtures.fact(fixtures.source(pin_utc(spark), sf_dir)))
+    return fixtures.loose_messages(_spread_fact(spark, sf_dir))
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +77,13 @@ def landed_responses(spark, sf_dir):
     return parse.status_counts(parse.classify(explode_responses(pages)))
 
 
+def landed_array(spark, sf_dir):
+    """All messages as one array in one file, split by brackets."""
+    path = work_dir(spark, "landed_array")
+    fixtures.landed_array(_messages(spark, sf_dir)).write.text(path)
+    return parse.status_counts(parse.classify(split_arrays(spark, path)))
+
+
 def canonical_event(spark, sf_dir):
     """Encoded as log messages, then decoded leaf by leaf."""
     log = canonical.to_log(canonical.canonicalise(_loose(spark, sf_dir)))
@@ -164,6 +178,49 @@ def key_checks(spark, sf_dir):
     return quality.key_summary({name: (df, PRIMARY_KEYS[name]) for name, df in tables.items()})
 
 
+def key_checks_incremental(spark, sf_dir):
+    """Three tables in batches, one of them repeated, checked without a scan of the tables."""
+    root, facts = work_dir(spark, "key_checks_incremental"), _fact(spark, sf_dir)
+    spread = fixtures.shuffled(fixtures.redelivered(facts))
+    tables = {
+        "fact": (spread, "event_id", "batch"),
+        "events": (facts.withColumn("batch", F.col("kafka_offset") % 5), "event_id", "batch"),
+        "repo_activity": (rollups.count_by(facts, "repo_name").withColumn("batch", F.lit(0)), "repo_name", "batch"),
+    }
+    found = []
+    for name, (rows, key, batch) in tables.items():
+        audit = KeyAudit(spark, f"{root}/{name}", key, buckets=64)
+        for batch_id in (0, 1, 1, 2, 3, 4) if name != "repo_activity" else (0,):
+            audit.write(rows.where(F.col(batch) == batch_id), batch_id)
+        audit.compact()
+        found.append(audit.summary(name))
+    return reduce(DataFrame.unionAll, found)
+
+
+def _payload_batches(spark, sf_dir) -> list[DataFrame]:
+    """Payload shapes of four batches, which differ in the sort of payload."""
+    rows = canonical.event_rows(canonical.canonicalise(_loose(spark, sf_dir), keep=canonical.LOG_POSITION))
+    events = dims.normalised_events(rows).withColumn("sort", F.col("event_id").cast("bigint") % 4)
+    return [payloads.payload_shapes(events.where(F.col("sort") == sort)) for sort in (0, 2, 3, 1)]
+
+
+def payload_schema(spark, sf_dir):
+    """M3, C4: the schema of payloads by event type, from the counts of four batches."""
+    return payloads.payload_schema(payloads.add_shapes(reduce(DataFrame.unionAll, _payload_batches(spark, sf_dir))))
+
+
+def payload_drift(spark, sf_dir):
+    """M3, C4: what each of four batches brings that none before it had."""
+    table = BatchTable(spark, work_dir(spark, "payload_drift"), payloads.SHAPES, merge=payloads.add_shapes)
+    found = []
+    for batch_id, shapes in enumerate(_payload_batches(spark, sf_dir)):
+        table.write(shapes, batch_id)
+        before = payloads.add_shapes(table.read(batch_id - 1))
+        drift = payloads.payload_drift(before, table.read_batch(batch_id))
+        found.append(drift.select(F.lit(batch_id).alias("batch"), "*"))
+    return reduce(DataFrame.unionAll, found)
+
+
 def star_join(spark, sf_dir):
     facts = _fact(spark, sf_dir)
     repos = dims.build_repos(facts).where("repo_id % 5 <> 4")
@@ -344,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "record_status_counts": lambda s, d: parse.status_counts(_classified(s, d)),
     "quarantine_rows": quarantine_rows,
     "landed_responses": landed_responses,
+    "landed_array": landed_array,
     "canonical_event": canonical_event,
     "type_violations": type_violations,
     "dedup_first_wins": lambda s, d: dedup.dedup_batch(parse_flatten(s, d)),
@@ -374,6 +432,9 @@ QUERIES: dict[str, Query] = {
     ),
     "null_violations": lambda s, d: quality.null_violations(_fact(s, d), ["event_type", "repo_name"]),
     "key_checks": key_checks,
+    "key_checks_incremental": key_checks_incremental,
+    "payload_schema": payload_schema,
+    "payload_drift": payload_drift,
     "rollup_refresh": rollup_refresh,
     "incremental_rollup": incremental_rollup,
     "live_top10": live_top10,

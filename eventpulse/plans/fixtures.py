@@ -172,12 +172,25 @@ def loose_messages(facts: DataFrame) -> DataFrame:
 def landed_responses(messages: DataFrame, page: int = 100) -> DataFrame:
     """One JSON array per page of log positions, as an API returns them.
 
-    A page holds ``page`` positions whatever the size of the table. Every page
-    with a broken message is broken as a whole.
+    A page holds the JSON messages of ``page`` positions whatever the size of the
+    table. Every tenth page is cut off before its end.
     """
     items = F.array_sort(F.collect_list(F.struct("kafka_offset", "json")))
+    end = F.when(F.col("page") % 10 == 7, "").otherwise("]")
     return (
-        messages.groupBy("kafka_partition", F.floor(F.col("kafka_offset") / page).alias("page"))
+        messages.where(F.col("json") != "not json")
+        .groupBy("kafka_partition", F.floor(F.col("kafka_offset") / page).alias("page"))
         .agg(items.alias("items"))
-        .select("page", F.concat(F.lit("["), F.concat_ws(",", "items.json"), F.lit("]")).alias("value"))
+        .select("page", F.concat(F.lit("["), F.concat_ws(",", "items.json"), end).alias("value"))
     )
+
+
+def landed_array(messages: DataFrame) -> DataFrame:
+    """Lines of one JSON array of all messages, by position in the log; broken messages are elements, too."""
+    place = F.struct("kafka_partition", "kafka_offset")
+    least = messages.agg(F.min(place).alias("least"))
+    begin = F.when(place == F.col("least"), "[").otherwise(",")
+    lines = messages.join(least).select("kafka_partition", "kafka_offset", F.concat(begin, F.col("json")).alias("value"))
+    end = least.select(F.lit(2**31 - 1).alias("kafka_partition"), F.lit(0).cast("long").alias("kafka_offset"), F.lit("]").alias("value"))
+    ordered = lines.unionByName(end).repartition(1).sortWithinPartitions("kafka_partition", "kafka_offset")
+    return ordered.select("value")

@@ -74,11 +74,12 @@ ORACLES = {
     "quarantine_rows": f"""{RED} SELECT status, kafka_offset, kafka_timestamp,
       CASE WHEN status <> 'malformed' THEN event_id END AS event_id FROM red WHERE status <> 'ok'""",
     "landed_responses": f"""{RED}, pages AS (
-      SELECT *, bool_or(status = 'malformed') OVER (PARTITION BY kafka_partition, kafka_offset // 100) AS broken FROM red)
+      SELECT *, kafka_offset // 100 % 10 = 7 AS broken FROM red WHERE status <> 'malformed')
       SELECT 'malformed' AS status, count(DISTINCT (kafka_partition, kafka_offset // 100)) AS record_count FROM pages
       WHERE broken GROUP BY 1
       UNION ALL
       SELECT status, count(*) AS record_count FROM pages WHERE NOT broken GROUP BY status""",
+    "landed_array": f"{RED} SELECT status, count(*) AS record_count FROM red GROUP BY status",
     "canonical_event": f"""{G} SELECT event_id AS key, event_id AS id, event_type AS type,
       CASE WHEN n % 79 <> 0 THEN CAST(actor_id AS VARCHAR) END AS actor_id, actor_login,
       CASE WHEN n % 73 <> 0 THEN CAST(repo_id AS VARCHAR) END AS repo_id, repo_name,
@@ -186,4 +187,21 @@ ORACLES = {
             "repo_time": "repo_name = 'org6/repo13' AND event_created_at >= TIMESTAMP '2024-01-05' AND event_created_at < TIMESTAMP '2024-01-25'",
         }.items()
     ),
+    "key_checks_incremental": RED + " UNION ALL ".join(_key_check(*c) for c in KEYS if c[0] in ("fact", "events", "repo_activity")),
+    "payload_schema": f"""{G}, p AS (
+      SELECT event_type, CASE n % 4 WHEN 3 THEN 'STRING' ELSE 'OBJECT' END AS kind, n % 4 = 2 AS has_k FROM g WHERE n % 4 <> 1)
+      SELECT event_type, '' AS field, array_to_string(list_sort(list(DISTINCT kind)), ',') AS kinds, count(*) AS n,
+        CAST(1 AS DOUBLE) AS share FROM p GROUP BY event_type
+      UNION ALL SELECT event_type, 'k', 'BIGINT', count(*) FILTER (has_k), CAST(count(*) FILTER (has_k) AS DOUBLE) / count(*)
+      FROM p GROUP BY event_type HAVING count(*) FILTER (has_k) > 0""",
+    "payload_drift": f"""{G}, p AS (
+      SELECT event_type, CASE n % 4 WHEN 0 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 3 END AS batch, n % 4 AS sort FROM g),
+      r AS (
+        SELECT event_type, batch, '' AS field, CASE sort WHEN 3 THEN 'STRING' ELSE 'OBJECT' END AS kind FROM p WHERE sort <> 1
+        UNION ALL SELECT event_type, batch, 'k', 'BIGINT' FROM p WHERE sort = 2),
+      c AS (SELECT event_type, batch, field, kind, count(*) AS n FROM r GROUP BY ALL),
+      f AS (SELECT *, min(batch) OVER (PARTITION BY event_type) AS t, min(batch) OVER (PARTITION BY event_type, field) AS w,
+        min(batch) OVER (PARTITION BY event_type, field, kind) AS x FROM c)
+      SELECT CAST(batch AS INTEGER) AS batch, event_type, field, kind, n,
+        CASE WHEN batch = t THEN 'type' WHEN batch = w THEN 'field' ELSE 'kind' END AS change FROM f WHERE batch = x""",
 }
