@@ -74,7 +74,8 @@ def _shared(a: str, b: str) -> int:
 def locate(render: Callable[[list[Turn]], str], turns: list[Turn], skip: int = 0) -> list[tuple[str, int, int, bool]]:
     """(segment, text start, text end, rewrites history) of each turn after the first ``skip``.
 
-    Start and end are places of the text within the segment, as the template wrote it.
+    Start and end are places of the text within the segment, as the template wrote it;
+    both are the segment's end for a text that the template leaves out.
     """
     out = []
     before = render(turns[:skip]) if skip else ""
@@ -87,6 +88,8 @@ def locate(render: Callable[[list[Turn]], str], turns: list[Turn], skip: int = 0
         at = _shared(one, two)
         start = max(at - begin, 0)
         end = max(len(now) - begin - (len(one) - at - 1), start)
+        if one == two:  # the template does not show this text
+            start = end = len(now) - begin
         out.append((now[begin:], start, end, rewrites))
         before = now
     return out

@@ -3,13 +3,16 @@
 Only vectors of the same label and length are compared. Equal vectors form a class
 first. The moments of all vectors give a PCA basis; in it
 
-* the two leading coordinates put a vector into a grid cell of the search radius
-  (unit vectors of cosine c are sqrt(2 - 2c) apart), so partners are in the same
-  or a neighbouring cell, and each pair of cells is met once;
-* cells are cut into blocks of BLOCK vectors, and a tile compares two blocks;
-* a tile adds up products of leading dimensions first and drops a pair as soon as
-  the sum plus the product of the norms of what is left can't reach the bound.
-  What survives is decided by the cosine of the vectors as given.
+* vectors are sorted by the Z-order of their ORDER leading coordinates and cut into
+  blocks of at most BLOCK; a block is one row, with the range of its LEAD leading
+  coordinates;
+* unit vectors of cosine c are sqrt(2 - 2c) apart, so two blocks can hold a pair only
+  if the gaps between their ranges are no longer than that together. Ranges alone are
+  joined, by cells of the two first coordinates, before any vector moves; a block then
+  goes to its few neighbours, whatever the size of its label;
+* a tile compares two blocks. It adds up products of leading dimensions first and drops
+  a pair as soon as the sum plus the product of the norms of what is left can't reach
+  the bound. What survives is decided by the cosine of the vectors as given.
 
 A tile returns link counts and a spanning forest of its links, not the pairs, so a
 group of copies adds rows in proportion to its size.
@@ -17,7 +20,7 @@ group of copies adds rows in proportion to its size.
 Null labels, null, empty or zero vectors and vectors with null or non-finite
 components link with nothing; so do rows with a null vec_id (component null,
 kept). Each row counts as a vector; rows with the same vec_id share a component.
-Classes are named by 64-bit hashes.
+Classes are named by 128 bits of two hashes.
 """
 
 from __future__ import annotations
@@ -26,18 +29,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventpulse.llm.tables import components, stored
+from eventpulse.llm.tables import components, small_batches, stored
 
 BLOCK = 1024
 STEP = 8
+#: Leading coordinates that order vectors, with BITS bits each, and that bound a block.
+ORDER, BITS, LEAD = 4, 8, 8
 #: Room for rounding in bounds that only drop pairs.
 SLACK = 1e-9
-#: Pairs of neighbouring cells, each once: first cell, and the other relative to it.
-OFFSETS = ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))
-CELL = ["label", "dim", "q0", "q1"]
 
 
 def _valid() -> Column:
@@ -76,18 +79,34 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bases(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """For each length the principal directions as columns, largest variance first."""
-    total: dict[int, np.ndarray] = {}
-    for d, own in vectors.mapInArrow(_moments, "dim int, moments array<double>").toLocalIterator():
-        total[d] = total.get(d, 0) + np.asarray(own)
+    """For each length the principal directions as columns, largest variance first.
+
+    The tasks' moments are added up place by place; the driver gets one sum for each
+    pair of dimensions.
+    """
+    own = vectors.mapInArrow(_moments, "dim int, moments array<double>").select("dim", F.posexplode("moments").alias("place", "value"))
+    sums = own.groupBy("dim", "place").agg(F.sum("value").alias("value")).toArrow()
+    dims, places, values = (sums[name].to_numpy() for name in ("dim", "place", "value"))
     bases = {}
-    for d, own in total.items():
+    for d in np.unique(dims).tolist():
+        own = np.zeros(1 + d + d * d)
+        own[places[dims == d]] = values[dims == d]
         mean = own[1 : d + 1] / own[0]
         spread = own[d + 1 :].reshape(d, d) / own[0] - np.outer(mean, mean)
         bases[d] = np.linalg.eigh(spread)[1][:, ::-1].copy()
     return bases
 
 
+def curve_place(lead: np.ndarray) -> np.ndarray:
+    """Z-order of coordinates from -1 to 1: their bits, interleaved from the highest on."""
+    cell = np.clip(((lead[:, :ORDER] + 1) * (1 << (BITS - 1))).astype(np.int64), 0, (1 << BITS) - 1)
+    place = np.zeros(len(lead), np.int64)
+    for bit in reversed(range(BITS)):
+        for k in range(cell.shape[1]):
+            place = place << 1 | cell[:, k] >> bit & 1
+    return place
+
+
 def compare_tile(a: np.ndarray, b: np.ndarray, basis: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a and of b whose cosine reaches the threshold; ``same``: a is b, each pair once."""
     ua, ub = _unit(a), _unit(b)
@@ -132,71 +151,131 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _blocks(classes: DataFrame, bases) -> DataFrame:
+    """(block, label, dim, low, high, cls, copies, data): up to BLOCK neighbouring classes a row, stored."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dim, at = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int64)
+            for own, vectors in _matrices(batch):
+                dim[own] = vectors.shape[1]
+                at[own] = curve_place(_unit(vectors) @ bases.value[vectors.shape[1]][:, :ORDER])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(dim), pa.array(at)], [*batch.schema.names, "dim", "place"])
+
+    kind = classes.schema["embedding"].dataType.simpleString()
+    label = classes.schema["label"].dataType.simpleString()
+    rows = classes.select("cls", "copies", "label", "embedding")
+    placed = stored(rows.mapInArrow(place, f"cls string, copies long, label {label}, embedding {kind}, dim int, place long"), "placed")
+    order = ["label", "dim", "place", "cls"]
+    tasks = max(1, -(-placed.count() // (8 * BLOCK)))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, done, open_ = TaskContext.get().partitionId() << 32, 0, None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            open_ = part if open_ is None else pa.concat_tables([open_, part])
+            # a block ends at BLOCK rows, or where the label or the length changes
+            key = open_.select(["label", "dim"]).combine_chunks()
+            codes = [key[name].combine_chunks().dictionary_encode().indices.to_numpy() if len(key) else np.zeros(0) for name in ("label", "dim")]
+            change = np.flatnonzero((np.diff(codes[0]) != 0) | (np.diff(codes[1]) != 0)) + 1
+            bounds = [0, *change.tolist(), len(open_)]
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                whole = hi < len(open_)
+                while hi - lo >= BLOCK or (whole and lo < hi):
+                    yield packed(open_.slice(lo, min(BLOCK, hi - lo)), first + done)
+                    lo, done = min(hi, lo + BLOCK), done + 1
+            open_ = open_.slice(lo)
+        if open_ is not None and len(open_):
+            yield packed(open_, first + done)
+
+    def packed(rows: pa.Table, number: int) -> pa.RecordBatch:
+        [(_, vectors)] = _matrices(rows)
+        lead = _unit(vectors) @ bases.value[vectors.shape[1]][:, :LEAD]
+        lists = [rows["cls"].to_pylist(), rows["copies"].to_pylist(), rows["embedding"].combine_chunks().flatten()]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([number]), rows["label"].combine_chunks().slice(0, 1), rows["dim"].combine_chunks().slice(0, 1),
+                pa.array([lead.min(axis=0)]), pa.array([lead.max(axis=0)]), pa.array([lists[0]]), pa.array([lists[1]]),
+                pa.ListArray.from_arrays(pa.array([0, len(lists[2])], pa.int32()), lists[2]),
+            ],
+            ["block", "label", "dim", "low", "high", "cls", "copies", "data"],
+        )
+
+    sorted_ = placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("cls", "copies", "label", "embedding", "dim")
+    out = f"block long, label {label}, dim int, low array<double>, high array<double>, cls array<string>, copies array<long>, data {kind}"
+    return stored(sorted_.mapInArrow(cut, out), "blocks")
+
+
+def _near_blocks(ranges: DataFrame, threshold: float) -> DataFrame:
+    """(a, b), a <= b: the blocks of a label and length whose ranges are near enough to hold a pair, stored.
+
+    Partners lie within the radius in each coordinate, so a block's own cells of the two
+    first coordinates, widened by one radius, hold a cell of each of its partners.
+    """
+    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
+
+    def cells(wide: float) -> list[Column]:
+        spans = []
+        for k in (0, 1):
+            low, high = (F.coalesce(F.get(name, F.lit(k)), F.lit(0.0)) for name in ("low", "high"))
+            spans.append(F.sequence(F.floor((low - wide) / radius), F.floor((high + wide) / radius)))
+        return spans
+
+    def listed(wide: float, side: str) -> DataFrame:
+        first, second = cells(wide)
+        rows = ranges.withColumn("c0", F.explode(first)).withColumn("c1", F.explode(second))
+        return rows.select("label", "dim", "c0", "c1", F.col("block").alias(side), F.struct("low", "high").alias(f"r{side}"))
+
+    gaps = F.zip_with(
+        F.arrays_zip(F.col("ra.low").alias("low"), F.col("ra.high").alias("high")),
+        F.arrays_zip(F.col("rb.low").alias("low"), F.col("rb.high").alias("high")),
+        lambda x, y: F.greatest(F.lit(0.0), x["low"] - y["high"], y["low"] - x["high"]),
+    )
+    apart = F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap)
+    met = listed(radius, "a").join(listed(0.0, "b"), ["label", "dim", "c0", "c1"])
+    near = met.where((F.col("a") <= F.col("b")) & (apart <= radius * radius + SLACK))
+    return stored(near.select("a", "b").distinct(), "near-blocks")
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``vectors`` (vec_id, embedding, label)."""
     spark = vectors.sparkSession
-    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
+    small_batches(spark)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
-    cls = F.when(_valid(), F.xxhash64("label", "embedding"))
+    names = [F.hex(F.xxhash64(*seed, "label", "embedding")) for seed in ((), (F.lit(1),))]
+    cls = F.when(_valid(), F.concat(*[F.lpad(name, 16, "0") for name in names]))
     named = rows.select("vec_id", cls.alias("cls"), "label", "embedding").where("cls is not null")
     classes = named.groupBy("cls").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding")
     )
     classes = stored(classes, "vectors")
     bases = spark.sparkContext.broadcast(_bases(classes.select("embedding")))
+    blocks = _blocks(classes, bases)
+    pairs = _near_blocks(blocks.select("block", "label", "dim", "low", "high"), threshold)
+    left, right = (
+        blocks.select(F.col("block").alias(side), *(F.col(name).alias(f"{name}_{side}") for name in ("dim", "cls", "copies", "data")))
+        for side in ("a", "b")
+    )
+    tiles = pairs.join(left, "a").join(right.drop("dim_b"), "b")
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            q = np.zeros((batch.num_rows, 3), np.int32)
-            for own, vectors in _matrices(batch):
-                d = vectors.shape[1]
-                lead = _unit(vectors) @ bases.value[d][:, :2]
-                q[own, 0] = d
-                q[own, 1 : 1 + lead.shape[1]] = np.floor(lead / radius)
-            columns = [*batch.columns, *(pa.array(q[:, k]) for k in range(3))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "dim", "q0", "q1"])
-
-    kind = classes.schema["embedding"].dataType.simpleString()
-    label = classes.schema["label"].dataType.simpleString()
-    placed = classes.select("cls", "copies", "label", "embedding").mapInArrow(
-        place, f"cls long, copies long, label {label}, embedding {kind}, dim int, q0 int, q1 int"
-    )
-    placed = stored(placed, "placed")
-    cells = placed.groupBy(*CELL).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = cells.select(*CELL, F.col("blocks").alias("own"))
-    other = cells.select("label", "dim", F.col("q0").alias("o0"), F.col("q1").alias("o1"), F.col("blocks").alias("others"))
-    sides = [(k, s, (1 - 2 * s) * dx, (1 - 2 * s) * dy) for k, (dx, dy) in enumerate(OFFSETS) for s in ((0, 1) if k else (0,))]
-    side = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(x, ("off", "b", "dx", "dy"), strict=True)]) for x in sides]))
-    sent = placed.join(own, CELL).withColumn("block", F.pmod(F.xxhash64("cls", F.lit(7)), "own").cast("int"))
-    sent = sent.withColumn("to", side).withColumn("o0", F.col("q0") + F.col("to.dx")).withColumn("o1", F.col("q1") + F.col("to.dy"))
-    sent = sent.join(other, ["label", "dim", "o0", "o1"]).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
-    first, inner = F.col("to.b") == 0, F.col("to.off") == 0
-    low, high = F.least("block", "with"), F.greatest("block", "with")
-    tiles = sent.select(
-        "label", "dim", F.col("to.off").alias("off"),
-        F.when(first, F.col("q0")).otherwise(F.col("o0")).alias("x"), F.when(first, F.col("q1")).otherwise(F.col("o1")).alias("y"),
-        F.when(inner, low).when(first, F.col("block")).otherwise(F.col("with")).alias("i"),
-        F.when(inner, high).when(first, F.col("with")).otherwise(F.col("block")).alias("j"),
-        F.when(inner, (F.col("block") > F.col("with")).cast("int")).otherwise(F.col("to.b")).alias("b"),
-        "cls", "copies", "embedding",
-    )
+            for k in range(batch.num_rows):
+                one = {name: batch.column(name)[k] for name in batch.schema.names}
+                dim, alone = one["dim_a"].as_py(), one["a"].as_py() == one["b"].as_py()
+                sides = ("a",) if alone else ("a", "b")
+                parts = [one[f"data_{side}"].values.to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64) for side in sides]
+                ids = pa.concat_arrays([one[f"cls_{side}"].values for side in sides])
+                copies = np.concatenate([one[f"copies_{side}"].values.to_numpy() for side in sides])
+                i, j = compare_tile(parts[0], parts[-1], bases.value[dim], threshold, alone)
+                j = j if alone else j + len(parts[0])
+                links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
+                root = forest(len(ids), i, j)
+                some = np.flatnonzero(links > 0)
+                columns = [ids.take(pa.array(some)), ids.take(pa.array(root[some])), pa.array(links[some].astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n"])
 
-    def tile(group: pa.Table) -> pa.Table:
-        side = group["b"].to_numpy()
-        ids, copies = group["cls"].to_numpy(), group["copies"].to_numpy()
-        [(_, vectors)] = _matrices(group)
-        basis = bases.value[vectors.shape[1]]
-        mine, theirs = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        # blocks of one cell meet themselves as a single set of rows
-        alone = group["off"][0].as_py() == 0 and group["i"][0].as_py() == group["j"][0].as_py()
-        i, j = compare_tile(vectors[mine], vectors[mine if alone else theirs], basis, threshold, alone)
-        i, j = mine[i], (mine if alone else theirs)[j]
-        links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-        root = forest(len(ids), i, j)
-        some = np.flatnonzero(links > 0)
-        return pa.table({"a": ids[some], "b": ids[root[some]], "n": links[some].astype(np.int64)})
-
-    linked = tiles.groupBy("label", "dim", "off", "x", "y", "i", "j").applyInArrow(tile, "a long, b long, n long")
+    linked = tiles.mapInArrow(tile, "a string, b string, n long")
     linked = stored(linked, "links")
     counts = linked.groupBy("a").agg(F.sum("n").alias("n"))
     # a repeated vec_id connects the classes of its rows
@@ -205,10 +284,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     again = signs.join(ends.select("vec_id", "a"), "vec_id").select("a", F.col("cls").alias("b"))
     found = components(linked.select("a", "b").unionByName(again), "a", "b")
     part = classes.select("cls", "rep", "copies").join(found, F.col("cls") == F.col("node"), "left")
-    part = part.withColumn("part", F.coalesce("component", "cls"))
-    least = part.groupBy("part").agg(F.min("rep").alias("least"))
+    part = stored(part.withColumn("part", F.coalesce("component", "cls")), "parts")
+    least = stored(part.groupBy("part").agg(F.min("rep").alias("least")), "least")
     info = part.join(least, "part").join(counts, F.col("cls") == F.col("a"), "left")
-    info = info.select("cls", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"))
+    # stored, so that Spark can split the rows of a hot class
+    info = stored(info.select("cls", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n")), "info")
     joined = signs.join(info, "cls", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("least", "vec_id"))
     return joined.select(

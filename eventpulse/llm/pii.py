@@ -8,9 +8,11 @@
 * Features are small integers, so all candidates of the corpus reduce to a table of
   feature tuples with counts, at most the product of FEATURES' sizes. Trees of depth
   two are boosted on that table; it is all that the driver gets.
-* The threshold is the lowest at which PRECISION of the loose candidates above it are
-  positive. Loose spans above it that overlap no strict one are reported too: numbers
-  and addresses that look and stand like personal data but fail a rule.
+* Documents are parted by a hash of their id: trees are fitted on all but one in
+  HELD_PART, and that one calibrates. For each loose kind the threshold is the lowest at
+  which PRECISION of its held-out candidates above it are positive. Loose spans above it
+  that overlap no strict one are reported too: numbers and addresses that look and stand
+  like personal data but fail a rule.
 
 Places are code points. ``split`` gives the text between matches and
 ``regexp_extract_all`` the matches; running sums of their lengths give the places.
@@ -48,6 +50,7 @@ CONTEXT = 24
 TREES = 25
 RATE = 0.4
 PRECISION = 0.9
+HELD_PART = 4
 
 
 class Split(NamedTuple):
@@ -156,10 +159,13 @@ def value_of(tree: float | Split, features: tuple) -> float:
     return tree
 
 
-def boost(table: list[tuple[tuple, int, int]]) -> tuple[list[float | Split], float]:
-    """Trees and threshold from (features, candidates, positives); (no trees, inf) without positives."""
+Table = list[tuple[tuple, int, int]]
+
+
+def grow(table: Table) -> list[float | Split]:
+    """Boosted trees from (features, candidates, positives); none without positives."""
     if not sum(positive for _, _, positive in table):
-        return [], math.inf
+        return []
     score, trees = [0.0] * len(table), []
     for _ in range(TREES):
         rows = []
@@ -168,14 +174,48 @@ def boost(table: list[tuple[tuple, int, int]]) -> tuple[list[float | Split], flo
             rows.append((features, positive - n * p, n * p * (1 - p)))
         trees.append(tree := _tree(rows, 2))
         score = [s + value_of(tree, features) for s, (features, _, _) in zip(score, table, strict=True)]
+    return trees
+
+
+class Cut(NamedTuple):
+    """A threshold, and the share of positives above it and of all positives that are above it."""
+
+    threshold: float
+    precision: float
+    recall: float
+
+
+def calibrated(trees: list[float | Split], table: Table) -> Cut:
+    """The lowest threshold at which PRECISION of the candidates above are positive; infinite if there is none."""
+    best = Cut(math.inf, 0.0, 0.0)
+    if not trees:
+        return best
+    score = [sum(value_of(tree, features) for tree in trees) for features, _, _ in table]
     ordered = sorted(zip(score, table, strict=True), key=lambda x: -x[0])
-    threshold, n, positive = math.inf, 0, 0
+    n, positive, every = 0, 0, sum(row[2] for row in table)
     for k, (s, (_, own, own_positive)) in enumerate(ordered):
         n, positive = n + own, positive + own_positive
         last = k + 1 == len(ordered) or ordered[k + 1][0] < s
-        if last and positive >= PRECISION * n:
-            threshold = s
-    return trees, threshold - 1e-9
+        if last and positive and positive >= PRECISION * n:
+            best = Cut(s - 1e-9, positive / n, positive / every)
+    return best
+
+
+def boost(table: Table) -> tuple[list[float | Split], float]:
+    """Trees, and the threshold on the table that they were fitted on; (no trees, inf) without positives."""
+    trees = grow(table)
+    return trees, calibrated(trees, table).threshold
+
+
+def learn(rows: DataFrame) -> tuple[list[float | Split], list[Cut]]:
+    """Trees and the cut of each loose kind, from placed candidates. The driver gets counts by feature tuple."""
+    names = [f"f{n}" for n in range(len(FEATURES))]
+    loose = rows.where(F.col("k") >= STRICT)
+    held = F.pmod(F.xxhash64(F.coalesce("doc_id", "row"), F.lit(11)), F.lit(HELD_PART)) == 0
+    counts = loose.groupBy(*names, held.alias("held")).agg(F.count("*").alias("n"), F.sum(F.col("overlaps").cast("long")).alias("positive")).collect()
+    parts = [sorted((tuple(r[n] for n in names), r.n, r.positive) for r in counts if r.held == side) for side in (False, True)]
+    trees = grow(parts[0])
+    return trees, [calibrated(trees, [row for row in parts[1] if row[0][0] == kind]) for kind in range(FEATURES[0])]
 
 
 def _column(tree: float | Split) -> Column:
@@ -190,12 +230,11 @@ def find_pii(docs: DataFrame) -> DataFrame:
     ``k`` numbers GENERATORS; ``strict`` holds the spans that pass a rule, ``spans`` all that are reported.
     """
     rows = stored(_placed(docs), "candidates")
-    names = [f"f{n}" for n in range(len(FEATURES))]
-    loose = rows.where(F.col("k") >= STRICT)
-    table = loose.groupBy(*names).agg(F.count("*").alias("n"), F.sum(F.col("overlaps").cast("long")).alias("positive")).collect()
-    trees, threshold = boost(sorted((tuple(r[n] for n in names), r.n, r.positive) for r in table))
+    trees, cuts = learn(rows)
     score = sum((_column(tree) for tree in trees), F.lit(0.0))
-    chosen = F.col("passes") | ((F.col("k") >= STRICT) & ~F.col("overlaps") & (score >= F.lit(threshold)))
+    chosen = F.col("passes")
+    for kind, cut in enumerate(cuts):
+        chosen |= (F.col("k") == STRICT + kind) & ~F.col("overlaps") & (score >= F.lit(cut.threshold))
     span = F.struct("k", "start", "end")
     found = rows.groupBy("row", "doc_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("passes"), span))).alias("strict"),

@@ -33,6 +33,15 @@ def test_rewriting_template_is_found():
     assert [f[3] for f in found] == [False, True, True]
 
 
+def test_texts_that_a_template_drops():
+    def hides(turns):
+        return "".join(f"<{role}>" + ("" if role == "tool" else text) for role, text in turns)
+
+    found = chat_format.locate(hides, [("user", "hi"), ("tool", "secret"), ("assistant", "yes")])
+    assert [f[0] for f in found] == ["<user>hi", "<tool>", "<assistant>yes"]
+    assert [(f[1], f[2]) for f in found] == [(6, 8), (6, 6), (11, 14)]
+
+
 def test_chats(spark):
     long = [(5, t, ("user", "assistant")[t % 2], f"</s> {t} [INST]") for t in range(500)]
     rows = [(1, 0, "user", None), (1, 1, "assistant", "é😀"), (2, 0, None, "x"), (2, 0, None, "x"), (2, None, "assistant", "first"), (None, 3, "assistant", "n"), *long]
