@@ -50,6 +50,11 @@ STATUS = [
     (event()[:-1], "malformed"),
     (event() + " trailing", "malformed"),
     (event() + " \n", "ok"),
+    (event() + event(), "malformed"),
+    (event() + "\n " + event(), "malformed"),
+    (event() + " 5}", "malformed"),
+    (event(x="}{ } and } { so on"), "ok"),
+    (event(x=[{"a": {}}, {"b": "}x"}], y="}"), "ok"),
     ('[{"id":"9"}]', "malformed"),
     ("", "malformed"),
     (None, "malformed"),
