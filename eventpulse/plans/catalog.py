@@ -385,6 +385,16 @@ def stream_progress(spark, sf_dir):
     return log.read().select("batch_id", "input_rows", *counters)
 
 
+def stream_enriched(spark, sf_dir):
+    """Names split while the log is ingested."""
+    root = work_dir(pin_utc(spark), "stream_enriched")
+    lake = Lake(spark, f"{root}/lake", enrich=True)
+    fixtures.envelopes(_messages(spark, sf_dir)).write.parquet(f"{root}/log")
+    log = read_log_files(spark, f"{root}/log", max_bytes_per_trigger=MICRO_BATCH_BYTES)
+    start_ingest(log, lake, f"{root}/checkpoint").awaitTermination()
+    return lake.fact.read().select("event_id", "repo_name", "repo_owner", "repo_short_name")
+
+
 def stream_minute(spark, sf_dir):
     root = work_dir(pin_utc(spark), "stream_minute")
     events = fixtures.source_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("event_created_at"))
@@ -442,6 +452,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_fact": stream_ingest_fact,
     "stream_minute": stream_minute,
     "stream_progress": stream_progress,
+    "stream_enriched": stream_enriched,
     "dedup_shuffled_ids": dedup_shuffled_ids,
     "stream_dedup_recent": stream_dedup_recent,
     "late_dimensions": late_dimensions,

@@ -146,6 +146,8 @@ ORACLES = {
       UNION ALL SELECT 'actor_activity', count(DISTINCT actor_login), count(*) FROM g""",
     "incremental_rollup": REPO_ACTIVITY,
     "stream_ingest_fact": FIRST,
+    "stream_enriched": f"""{G} SELECT event_id, repo_name, {OWNER} AS repo_owner,
+      string_split(repo_name, '/')[2] AS repo_short_name FROM (SELECT *, {STATUS} FROM g) WHERE status = 'ok'""",
     "stream_minute": MINUTES,
     "dedup_shuffled_ids": f"""{RED}, m AS (
       SELECT md5(event_id) AS event_id, kafka_partition, kafka_offset,
