@@ -32,7 +32,7 @@ def record_status(json: str, time: str = "event_created_at") -> Column:
     from a null.
     """
     text = F.col(json)
-    one = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")) == 1
+    one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     alone = ~text.rlike(AFTER_BRACE) | F.coalesce(one, F.lit(False))
     closed = F.rtrim(text, F.lit(" \t\r\n")).endswith("}") & alone
     keys = F.json_object_keys(json)
