@@ -19,8 +19,8 @@ smallest. Texts with the same shingle set form a class, and classes are compared
 Null or empty texts have an empty set and link with nothing. Rows with a null
 doc_id are returned with a null component and kept. Repeated rows are one
 document; a repeated doc_id with other texts links whatever any of them links.
-Classes are named by 64 bits of a digest: among 3 * 10**10 documents about 24 pairs
-of classes would share a name by chance.
+Classes are named by 128 bits of a digest: among 3 * 10**10 documents the chance that
+any two classes share a name is below 10**-17.
 """
 
 from __future__ import annotations
@@ -73,9 +73,9 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
         yield np.unique(windows(own, SHINGLE if len(own) >= SHINGLE else max(1, len(own))))
 
 
-def _name(own: np.ndarray) -> int | None:
-    """The class of a set: 64 bits of its digest; null for the empty set."""
-    return int.from_bytes(blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True) if len(own) else None
+def _name(own: np.ndarray) -> bytes | None:
+    """The class of a set: 128 bits of its digest; null for the empty set."""
+    return blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +86,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cls.append(_name(own))
             sketch.append(own[:K].view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(count, pa.int64()), pa.array(cls, pa.int64()), pa.array(sketch, pa.list_(pa.int64()))],
+            [batch.column(0), pa.array(count, pa.int64()), pa.array(cls, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))],
             ["doc_id", "n", "cls", "sketch"],
         )
 
@@ -95,7 +95,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         sets = [own.view(np.int64) for own in shingle_sets(batch.column(1))]
         cls = [_name(own) for own in sets]
-        yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["cls", "items"])
+        yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["cls", "items"])
 
 
 def _frequencies(classes: DataFrame):
@@ -115,19 +115,19 @@ def _lists(classes: DataFrame) -> DataFrame:
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = weights.value
         for batch in batches:
-            values, ids, sizes, places = [], [], [], []
-            for cls, n, sketch in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            values, sizes, places = [], [], []
+            for n, sketch in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 own = sketch.values.to_numpy()
                 order = np.lexsort((own, weight[own & (BUCKETS - 1)]))[: len(own) - needed(n) + 1]
                 values.append(own[order])
-                ids.append(np.full(len(order), cls, np.int64))
                 sizes.append(np.full(len(order), n, np.int64))
                 places.append(np.arange(len(order), dtype=np.int32))
-            if ids:
-                columns = [pa.array(np.concatenate(x)) for x in (values, ids, sizes, places)]
-                yield pa.RecordBatch.from_arrays(columns, ["value", "cls", "n", "place"])
+            if values:
+                ids = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in values])))
+                value, size, place = (pa.array(np.concatenate(x)) for x in (values, sizes, places))
+                yield pa.RecordBatch.from_arrays([value, ids, size, place], ["value", "cls", "n", "place"])
 
-    lists = stored(classes.select("cls", "n", "sketch").mapInArrow(rarest, "value long, cls long, n long, place int"), "entries")
+    lists = stored(classes.select("cls", "n", "sketch").mapInArrow(rarest, "value long, cls binary, n long, place int"), "entries")
     weights.destroy()
     return lists
 
@@ -174,10 +174,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
     left = own.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
     right = own.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "na", "nb")
-    near = stored(near.mapInArrow(_estimated, "a long, b long"), "near")
+    near = stored(near.mapInArrow(_estimated, "a binary, b binary"), "near")
     reps = classes.select("cls", F.col("rep").alias("doc_id"))
     ids = stored(_ends(near).join(reps, "cls").select("doc_id"), "ids")
-    sets = only(texts, ids).mapInArrow(_sets, "cls long, items array<long>")
+    sets = only(texts, ids).mapInArrow(_sets, "cls binary, items array<long>")
     sets = stored(sets.dropDuplicates(["cls"]), "sets")
     left = sets.select(F.col("cls").alias("a"), F.col("items").alias("ia"))
     right = sets.select(F.col("cls").alias("b"), F.col("items").alias("ib"))
@@ -207,7 +207,7 @@ def _labelled(docs: DataFrame, by_id: bool) -> tuple[DataFrame, DataFrame]:
     that of its component with the class it comes from. ``by_id``: a doc_id links the classes of its texts."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    full = stored(rows.mapInArrow(_sketches, "doc_id long, n long, cls long, sketch array<long>"), "sketches")
+    full = stored(rows.mapInArrow(_sketches, "doc_id long, n long, cls binary, sketch array<long>"), "sketches")
     signs = stored(full.select("doc_id", "n", "cls"), "signs")
     named = signs.where("doc_id is not null and cls is not null")
     reps = stored(named.groupBy("cls").agg(F.min("doc_id").alias("rep")), "reps")
@@ -278,10 +278,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at):
-            names = pa.array([_name(own) for own in shingle_sets(batch.column(at))], pa.int64())
+            names = pa.array([_name(own) for own in shingle_sets(batch.column(at))], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], names], [*batch.schema.names, cls])
 
-    named = maybe.mapInArrow(classed, T.StructType([*docs.schema.fields, T.StructField(cls, T.LongType())]))
+    named = maybe.mapInArrow(classed, T.StructType([*docs.schema.fields, T.StructField(cls, T.BinaryType())]))
     dropped = marked.where("not stays").select(F.col("doc_id").alias(lost_id), F.col("cls").alias(lost))
     rows = named.join(dropped, (F.col("doc_id").cast("long") == F.col(lost_id)) & (F.col(cls) == F.col(lost)), "left_anti")
     order = Window.partitionBy(F.col("doc_id").cast("long"), cls).orderBy(F.asc_nulls_last("text"))

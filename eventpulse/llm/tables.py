@@ -68,12 +68,17 @@ def _spot(key: Column) -> tuple[Column, Column]:
     return F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
 
 
+def _as_long(rows: DataFrame, key: str) -> Column:
+    """The key as a long: names in bytes or text by a hash."""
+    return F.xxhash64(key) if rows.schema[key].dataType.typeName() in ("binary", "string") else F.col(key).cast("long")
+
+
 def sieve_of(ids: DataFrame, key: str) -> DataFrame:
     """Bitmap of hashed ids: a bit that is not set proves that the id is absent.
 
     At most 4097 rows (bucket, words) of 4 KB, whatever the input, so it may be broadcast.
     """
-    bucket, bit = _spot(F.col(key))
+    bucket, bit = _spot(_as_long(ids, key))
     bits = ids.where(F.col(key).isNotNull()).select(bucket.alias("bucket"), bit.alias("bit"))
     maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
     word = "cast(conv(hex(substring(bits, 8 * i + 1, 8)), 16, -10) as bigint)"
@@ -95,11 +100,12 @@ def with_bit(rows: DataFrame, sieve: DataFrame, key: Column, name: str) -> DataF
 def _sieved(rows: DataFrame, sieve: DataFrame, key: str, inside: bool) -> DataFrame:
     """The rows whose bit is set, or is not set."""
     name = fresh("in_sieve", rows.columns)
-    return with_bit(rows, sieve, F.col(key), name).where(F.col(name) == inside).drop(name)
+    own = F.when(F.col(key).isNotNull(), _as_long(rows, key))
+    return with_bit(rows, sieve, own, name).where(F.col(name) == inside).drop(name)
 
 
 def only(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows whose ``key``, a long, is in ``ids`` (one column of that name).
+    """The rows whose ``key`` is in ``ids`` (one column of that name).
 
     A bitmap of hashed ids drops most other rows before the shuffle. Its size is
     bounded: with more ids it lets more rows through, and the join decides.
