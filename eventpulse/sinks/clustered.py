@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventpulse.sinks.files import numbered
+from eventpulse.sinks.files import numbered, remove
 from eventpulse.sinks.tables import VersionedTable
 from eventpulse.sources.scans import scan_range
 
@@ -99,3 +99,12 @@ class ClusteredTable:
     def lookup(self, start: datetime | None = None, end: datetime | None = None, time: str = "event_created_at", **equals: object) -> DataFrame:
         """M4, M5: rows with ``start <= time < end`` and the given values, from those files alone."""
         return scan_range(self._open(self.files(start, end, time, **equals)), start, end, time, **equals)
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete all but the newest versions, and what writers that died have left before them."""
+        kept = self.ranges.versions()[-max(keep, 1):]
+        used = {int(row.version) for n in kept for row in self.ranges.read(n).select(F.split_part("file", F.lit("/"), F.lit(1)).alias("version")).distinct().collect()}
+        for version in numbered(self.spark, f"{self.path}/data", "version"):
+            if version < max(used, default=-1) and version not in used:
+                remove(self.spark, f"{self.path}/data/version={version}")
+        self.ranges.expire(keep)

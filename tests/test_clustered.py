@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventpulse.plans import fixtures
 from eventpulse.session import work_dir
+from eventpulse.sinks.files import numbered
 from eventpulse.sinks.clustered import ClusteredTable, curve_place, slice_bounds
 from eventpulse.sources.scans import scan_range
 
@@ -70,5 +71,8 @@ def test_a_hot_value_is_spread_and_nulls_are_kept(spark):
     assert table.lookup(repo_name="hot").count() == 2000 and table.lookup(actor_login="u7").count() == 1
     table.publish(df.limit(5))
     assert table.read().count() == 5
+    table.publish(df.limit(7))
+    table.expire(keep=1)
+    assert table.read().count() == 7 and numbered(spark, f"{table.path}/data", "version") == [2]
     table.publish(df.limit(0))
     assert table.read().count() == 0
