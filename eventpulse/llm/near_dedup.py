@@ -20,7 +20,8 @@ Null or empty texts have an empty set and link with nothing. Rows with a null
 doc_id are returned with a null component and kept. Repeated rows are one
 document; a repeated doc_id with other texts links whatever any of them links.
 Classes are named by 128 bits of a digest: among 3 * 10**10 documents the chance that
-any two classes share a name is below 10**-17.
+any two classes share a name is below 10**-17. Lists, pairs and links hold the number
+of a class instead (``node``), which takes a third of the room when shuffled or stored.
 """
 
 from __future__ import annotations
@@ -109,7 +110,7 @@ def _frequencies(classes: DataFrame):
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """(value, cls, n, place): each sketch under its rarest values, stored."""
+    """(value, node, n, place): each sketch under its rarest values, stored."""
     weights = _frequencies(classes)
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,9 +126,9 @@ def _lists(classes: DataFrame) -> DataFrame:
             if values:
                 ids = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in values])))
                 value, size, place = (pa.array(np.concatenate(x)) for x in (values, sizes, places))
-                yield pa.RecordBatch.from_arrays([value, ids, size, place], ["value", "cls", "n", "place"])
+                yield pa.RecordBatch.from_arrays([value, ids, size, place], ["value", "node", "n", "place"])
 
-    lists = stored(classes.select("cls", "n", "sketch").mapInArrow(rarest, "value long, cls binary, n long, place int"), "entries")
+    lists = stored(classes.select("node", "n", "sketch").mapInArrow(rarest, "value long, node long, n long, place int"), "entries")
     weights.destroy()
     return lists
 
@@ -164,29 +165,29 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that are linked."""
     ends = stored(_ends(pairs), "ends")
-    own = stored(only(classes.select("cls", "sketch", "n"), ends, "cls"), "own")
-    left = own.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
-    right = own.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
+    own = stored(only(classes.select("node", "sketch", "n"), ends, "node"), "own")
+    left = own.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
+    right = own.select(F.col("node").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "na", "nb")
-    near = stored(near.mapInArrow(_estimated, "a binary, b binary"), "near")
-    reps = classes.select("cls", F.col("rep").alias("doc_id"))
-    ids = stored(_ends(near).join(reps, "cls").select("doc_id"), "ids")
-    sets = only(texts, ids).mapInArrow(_sets, "cls binary, items array<long>")
-    sets = stored(sets.dropDuplicates(["cls"]), "sets")
-    left = sets.select(F.col("cls").alias("a"), F.col("items").alias("ia"))
-    right = sets.select(F.col("cls").alias("b"), F.col("items").alias("ib"))
+    near = stored(near.mapInArrow(_estimated, "a long, b long"), "near")
+    discard(own)
+    reps = classes.select("node", "cls", F.col("rep").alias("doc_id"))
+    ids = stored(_ends(near).join(reps, "node"), "ids")
+    sets = only(texts, ids.select("doc_id")).mapInArrow(_sets, "cls binary, items array<long>")
+    sets = stored(sets.dropDuplicates(["cls"]).join(ids.select("cls", "node"), "cls").select("node", "items"), "sets")
+    left = sets.select(F.col("node").alias("a"), F.col("items").alias("ia"))
+    right = sets.select(F.col("node").alias("b"), F.col("items").alias("ib"))
     shared = F.size(F.array_intersect("ia", "ib"))
     joined = near.join(left, "a").join(right, "b").withColumn("shared", shared)
     linked = joined.where("100 * shared >= 75 * (size(ia) + size(ib) - shared)").select("a", "b")
     linked = stored(linked, "linked")
     discard(sets)
-    discard(own)
     return linked
 
 
@@ -212,16 +213,20 @@ def _labelled(docs: DataFrame, by_id: bool) -> tuple[DataFrame, DataFrame]:
     named = signs.where("doc_id is not null and cls is not null")
     reps = stored(named.groupBy("cls").agg(F.min("doc_id").alias("rep")), "reps")
     classes = full.join(reps, (full.cls == reps.cls) & (full.doc_id == reps.rep)).select(full.cls, "n", "sketch", "rep")
-    classes = stored(classes.dropDuplicates(["cls"]), "classes")
+    # numbers hold from here on, since the rows are stored with them
+    classes = stored(classes.dropDuplicates(["cls"]).withColumn("node", F.monotonically_increasing_id()), "classes")
     discard(full)
+    names = stored(classes.select("cls", "rep", "node"), "names")
     edges = _links(classes, rows)
     discard(classes)
     if by_id:
         ends = named.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a < b").select("doc_id", "a")
-        same = named.join(stored(ends, "ids"), "doc_id").select("a", F.col("cls").alias("b"))
-        edges = edges.unionByName(same)
+        same = stored(named.join(stored(ends, "ids"), "doc_id").select("a", F.col("cls").alias("b")), "same")
+        for end in ("a", "b"):
+            same = same.join(names.select(F.col("cls").alias(end), F.col("node").alias(f"node_{end}")), end).drop(end)
+        edges = edges.unionByName(same.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
     found = components(edges, "a", "b")
-    part = reps.join(found, reps.cls == found.node, "left").select("cls", "rep", F.coalesce("component", "cls").alias("part"))
+    part = names.join(found, "node", "left").select("cls", "rep", F.coalesce("component", "node").alias("part"))
     part = stored(part, "parts")
     first = stored(part.groupBy("part").agg(F.min(F.struct("rep", "cls")).alias("first")), "firsts")
     return signs, part.join(first, "part").select("cls", "rep", "first")
@@ -234,25 +239,27 @@ def _links(classes: DataFrame, texts: DataFrame) -> DataFrame:
     many = stored(lists.groupBy("value").count().where("count > 1").select("value"), "many")
     entries, lists = lists, stored(lists.join(many, "value", "left_semi"), "lists")
     discard(entries)
-    head = stored(lists.groupBy("value").agg(F.min(F.struct("place", "n", "cls")).alias("h")), "heads")
-    star = lists.join(head, "value").select(F.struct("place", "n", "cls").alias("x"), "h").where("h.cls != x.cls")
+    head = stored(lists.groupBy("value").agg(F.min(F.struct("place", "n", "node")).alias("h")), "heads")
+    star = lists.join(head, "value").select(F.struct("place", "n", "node").alias("x"), "h").where("h.node != x.node")
     star = star.where(_possible("h", "x"))
-    pairs = star.select(F.least("h.cls", "x.cls").alias("a"), F.greatest("h.cls", "x.cls").alias("b")).distinct()
+    pairs = star.select(F.least("h.node", "x.node").alias("a"), F.greatest("h.node", "x.node").alias("b")).distinct()
     pairs = stored(pairs, "pairs")
     found = stored(components(_verified(pairs, classes, texts), "a", "b"), "parts")
-    entry = F.struct("place", "n", "cls").alias("x")
-    label = lists.join(found, F.col("cls") == F.col("node"), "left").select("value", entry, F.coalesce("component", "cls").alias("part"))
+    entry = F.struct("place", "n", "node").alias("x")
+    label = lists.join(found, "node", "left").select("value", entry, F.coalesce("component", "node").alias("part"))
     label = stored(label, "labelled")
+    discard(lists)
     mixed = label.groupBy("value").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("value")
     mixed = stored(label.join(mixed, "value"), "mixed")
+    discard(label)
     # a pair is met at its first shared value only: entries carry the values listed before them
-    seen = Window.partitionBy("x.cls").orderBy("x.place").rowsBetween(Window.unboundedPreceding, -1)
+    seen = Window.partitionBy("x.node").orderBy("x.place").rowsBetween(Window.unboundedPreceding, -1)
     mixed = mixed.withColumn("earlier", F.collect_list("value").over(seen))
     one = mixed.select("value", F.col("x").alias("a"), F.col("part").alias("pa"), F.col("earlier").alias("ea"))
     two = mixed.select("value", F.col("x").alias("b"), F.col("part").alias("pb"), F.col("earlier").alias("eb"))
-    apart = (F.col("a.cls") < F.col("b.cls")) & (F.col("pa") != F.col("pb"))
+    apart = (F.col("a.node") < F.col("b.node")) & (F.col("pa") != F.col("pb"))
     across = one.join(two, (one.value == two.value) & apart & _possible("a", "b") & ~F.arrays_overlap("ea", "eb"))
-    across = across.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
+    across = across.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
     across = stored(across.join(pairs, ["a", "b"], "left_anti"), "across")
     known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return known.unionByName(_verified(across, classes, texts))
