@@ -92,3 +92,24 @@ def test_empty_elements_are_rows(spark):
     path = work_dir(spark, "holes")
     land(spark, path, holes="[1,,2]", none="[ ]")
     assert {k: sorted(v) for k, v in elements(split_arrays(spark, path)).items()} == {"holes": ["", "1", "2"]}
+
+
+def test_elements_inside_a_range_are_whole_before_any_shuffle():
+    import pyarrow as pa
+
+    from eventpulse.sources import arrays
+
+    def batch(*texts):
+        n = len(texts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([7] * n), pa.array([0] * n), pa.array(texts), pa.array([0] * n, pa.int32()), pa.array([0] * n)],
+            ["file", "block", "text", "start_inside", "start_depth"],
+        )
+
+    batches = [batch('[{"a":"x', ']"', '"b":1}', "2"), batch("[3", "4]", r'"\"', '"')]
+    rows = [row for out in arrays._pieces(iter(batches)) for row in out.to_pylist()]
+    want = [(0, True, b'[{"a":"x,]","b":1}'), (1, False, b"2"), (2, False, b"[3,4]"), (3, True, None)]
+    assert [(r["number"], r["edge"], r["json"]) for r in rows[:3]] == want[:3]
+    assert rows[-1]["edge"] and rows[-1]["number"] == 3 + (rows[-1]["json"] is None)
+    changes = [row for out in arrays._changes(iter(batches)) for row in out.to_pylist()]
+    assert [(r["flips"], r["range0"], r["first"], r["last"]) for r in changes] == [(0, 1, b'[{"a":"x', b'"')]
