@@ -24,6 +24,8 @@ from eventpulse.sources.scans import scan_range
 BITS = 4
 SLICES = 1 << BITS
 FILE_ROWS = 1_000_000
+#: Files of fewer rows than FILE_ROWS, as ``file_rows`` may ask for, are made up to this number only.
+SMALL_FILES = 512
 
 
 def slice_bounds(df: DataFrame, column: str, slices: int = SLICES) -> list[object]:
@@ -42,14 +44,27 @@ def curve_place(columns: dict[str, list[object]]) -> Column:
     The numbers of a column with few slices are spread over all bits, so that it takes
     part in the high ones.
     """
-    place = F.lit(0).cast("bigint")
-    for bit in reversed(range(BITS)):
-        for column, bounds in columns.items():
-            number = F.lit(0)
-            for k, bound in enumerate(bounds, 1):
-                number = F.when(F.col(column) > F.lit(bound), k * SLICES // (len(bounds) + 1)).otherwise(number)
-            place = place * 2 + F.shiftright(number, bit).bitwiseAND(1)
-    return place
+    numbers = []
+    for column, bounds in columns.items():
+        number = F.lit(0)
+        for k, bound in enumerate(bounds, 1):
+            number = F.when(F.col(column) > F.lit(bound), k * SLICES // (len(bounds) + 1)).otherwise(number)
+        numbers.append(number)
+
+    def interleaved(found: Column) -> Column:
+        place = F.lit(0).cast("bigint")
+        for bit in reversed(range(BITS)):
+            for k in range(len(numbers)):
+                place = place * 2 + F.shiftright(found[k], bit).bitwiseAND(1)
+        return place
+
+    # through an array, so that each number is found once a row and not once a bit
+    return F.transform(F.array(F.array(*numbers)), interleaved)[0]
+
+
+def file_count(rows: int, file_rows: int) -> int:
+    """Files of ``file_rows`` rows, in a large table of more, so that their number grows with FILE_ROWS alone."""
+    return max(1, min(-(-rows // file_rows), SMALL_FILES), -(-rows // max(file_rows, FILE_ROWS)))
 
 
 class ClusteredTable:
@@ -65,7 +80,7 @@ class ClusteredTable:
         version = max(numbered(self.spark, f"{self.path}/data", "version"), default=-1) + 1
         folder = f"{self.path}/data/version={version}"
         rows = df.select(self.schema.fieldNames())
-        files = max(1, -(-rows.count() // self.file_rows))
+        files = file_count(rows.count(), self.file_rows)
         place = curve_place({name: slice_bounds(rows, name) for name in self.lookups})
         placed = rows.withColumn("place", place)
         # equal places are split by the columns themselves, so a crowded place is no single file

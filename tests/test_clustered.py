@@ -76,3 +76,10 @@ def test_a_hot_value_is_spread_and_nulls_are_kept(spark):
     assert table.read().count() == 7 and numbered(spark, f"{table.path}/data", "version") == [2]
     table.publish(df.limit(0))
     assert table.read().count() == 0
+
+
+def test_files_of_a_large_table_stay_few():
+    from eventpulse.sinks.clustered import FILE_ROWS, SMALL_FILES, file_count
+
+    assert [file_count(n, 256) for n in (0, 256, 257, 36_000_000)] == [1, 1, 2, SMALL_FILES]
+    assert file_count(10**10, 256) == file_count(10**10, FILE_ROWS) == 10**4
