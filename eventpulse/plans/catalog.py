@@ -197,10 +197,18 @@ def key_checks_incremental(spark, sf_dir):
     return reduce(DataFrame.unionAll, found)
 
 
+def _landed(rows: DataFrame, name: str, batch: str) -> DataFrame:
+    """Rows written once by batch, so that each batch reads its own alone."""
+    path = work_dir(rows.sparkSession, name)
+    rows.write.partitionBy(batch).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _payload_batches(spark, sf_dir) -> list[DataFrame]:
-    """Payload shapes of four batches, which differ in the sort of payload."""
+    """Payload shapes of four batches, which differ in the sort of payload; messages are read once, for all of them."""
     rows = canonical.event_rows(canonical.canonicalise(_loose(spark, sf_dir), keep=canonical.LOG_POSITION))
-    events = dims.normalised_events(rows).withColumn("sort", F.col("event_id").cast("bigint") % 4)
+    sort = (F.col("event_id").cast("bigint") % 4).alias("sort")
+    events = _landed(dims.normalised_events(rows).select("event_type", "payload", sort), "payload_batches", "sort")
     return [payloads.payload_shapes(events.where(F.col("sort") == sort)) for sort in (0, 2, 3, 1)]
 
 
@@ -319,9 +327,10 @@ def dedup_shuffled_ids(spark, sf_dir):
     root = work_dir(spark, "dedup_shuffled_ids")
     index = KeyIndex(spark, f"{root}/keys", file_keys=SMALL_FILES, fan=2)
     columns = ["event_id", "batch", "kafka_partition", "kafka_offset"]
-    table = BatchTable(spark, f"{root}/rows", rows.select(columns).schema)
+    landed = _landed(rows.select(columns), "shuffled_ids", "batch").select(columns)
+    table = BatchTable(spark, f"{root}/rows", landed.schema)
     for batch_id in (0, 1, 1, 2, 3, 4):
-        batch = rows.select(columns).where(F.col("batch") == batch_id)
+        batch = landed.where(F.col("batch") == batch_id)
         known = index.near(batch, upto=batch_id - 1)
         table.write(dedup.drop_seen(dedup.dedup_batch(batch), known, keys=batch), batch_id)
         index.write(table.read_batch(batch_id), batch_id)

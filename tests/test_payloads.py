@@ -76,3 +76,11 @@ def test_schema_and_typed_columns(spark):
     typed = dict(out.dtypes)
     assert typed["payload_s"] == "string" and typed['payload_we"ird'] == "boolean" and "payload_mixed" not in typed
     assert sorted(str(r.payload_s) for r in out.collect()) == ["None"] * 4 + ["x"]
+
+
+def test_batches_read_messages_once(spark):
+    from eventpulse.plans import catalog
+
+    files = {f for shapes in catalog._payload_batches(spark, "/root/testdata/sf0.001") for f in shapes.inputFiles()}
+    assert files and not any("events.parquet" in f for f in files)
+    assert all("sort=" in f for f in files)
