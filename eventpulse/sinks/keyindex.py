@@ -3,7 +3,7 @@
 A *run* holds the keys of some consecutive batches: ``ids/run=F-L/bucket=B/`` has one
 file a bucket, sorted by key, and ``sketch/run=F-L/`` the sketches of every file. A run
 has as many buckets as keep a file at FILE_KEYS keys, so files stay alike however
-large a run gets. ``head/run=F-L/`` is written last and makes a run count; a repeated
+large a run gets; smaller files are made up to SMALL_FILES in a run. ``head/run=F-L/`` is written last and makes a run count; a repeated
 batch overwrites its run.
 
 A batch looks its keys up in the sketches, which take SKETCH_KEY_BITS a key, whatever
@@ -33,10 +33,17 @@ from eventpulse.functions.sketches import (
 from eventpulse.sinks.files import committed, named, remove
 
 FILE_KEYS = 1 << 20
+#: Files of fewer keys than FILE_KEYS, as ``file_keys`` may ask for, are made up to this number in a run only.
+SMALL_FILES = 128
 SKETCH_KEY_BITS = 16
 FAN = 8
 
 
+def bucket_count(keys: int, file_keys: int) -> int:
+    """Buckets of ``file_keys`` keys, in a large run of more, so that their number grows with FILE_KEYS alone."""
+    return max(1, min(-(-keys // file_keys), SMALL_FILES), -(-keys // max(file_keys, FILE_KEYS)))
+
+
 class Run(NamedTuple):
     first: int
     last: int
@@ -110,7 +117,7 @@ class KeyIndex:
     def _write(self, keys: DataFrame, run: Run) -> None:
         remove(self.spark, f"{self.path}/head/{run.name}")
         n = keys.count()
-        buckets = max(1, -(-n // self.file_keys))
+        buckets = bucket_count(n, self.file_keys)
         segments = max(1, -(-n * SKETCH_KEY_BITS // (buckets * SKETCH_BITS)))
         placed = keys.withColumn("bucket", key_bucket(self.key, buckets))
         gathered = placed.repartition(buckets, "bucket").sortWithinPartitions("bucket", self.key)

@@ -116,3 +116,10 @@ def test_an_empty_batch(spark):
     index.write(keys(spark, []), 0)
     assert index.runs() == [Run(0, 0)] and index.read().count() == 0
     assert index.near(keys(spark, ["a"])).count() == 0
+
+
+def test_files_of_a_large_run_stay_few():
+    from eventpulse.sinks.keyindex import FILE_KEYS, SMALL_FILES, bucket_count
+
+    assert [bucket_count(n, 4096) for n in (0, 4096, 4097, 40_000_000)] == [1, 1, 2, SMALL_FILES]
+    assert bucket_count(10**10, 4096) == bucket_count(10**10, FILE_KEYS) == -(-(10**10) // FILE_KEYS)
